@@ -481,7 +481,7 @@ def oracle():
         = max(file_last_modified) over (partition by transaction_id)"""
     guard_move = """select facility_id, status, b.net_funds_employed as nfe_before,
         a.net_funds_employed as nfe_after, a.net_funds_employed - b.net_funds_employed as nfe_change
-        from dim b join dim_after a using (facility_id, status)"""
+        from dim b join (select * exclude (status) from dim_after) a using (facility_id)"""
     sql = {
         "parse_amount": f"""select file_name, file_row_number, amount as amount_text,
             {amount('amount')} as amount_value from raw_led""",

@@ -3,6 +3,8 @@
 Every entry takes a session and the folder of the test tables.
 """
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from . import demo
@@ -17,7 +19,7 @@ from .operators.upsert import upsert_outcomes
 from .plans import intake, portfolio, quality, serving
 from .plans.facilities import facilities, facility_audit, facility_conflicts
 from .plans.marts import (
-    build_marts, current_members, facility_guard, fact_source, first_fact, load_facilities,
+    BuiltMarts, current_members, facility_guard, fact_source, first_fact, load_facilities,
     load_fact, load_organizations, organization_guard, resolve_orphans,
 )
 from .plans.organizations import crm_organizations, organization_audit, organizations
@@ -37,33 +39,56 @@ class Book:
 
     def __init__(self, spark, sf_dir):
         self.spark = spark
-        self.crm = demo.crm_raw(spark, sf_dir)
-        self.fac = demo.facility_raw(spark, sf_dir)
-        self.led = demo.ledger_raw(spark, sf_dir)
-        self.delta = demo.ledger_delta(spark, sf_dir)
-        self.requests = demo.requests(spark, sf_dir)
+        self.sf_dir = sf_dir
+
+    @cached_property
+    def crm(self):
+        return demo.crm_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def fac(self):
+        return demo.facility_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def led(self):
+        return demo.ledger_raw(self.spark, self.sf_dir)
+
+    @cached_property
+    def delta(self):
+        return demo.ledger_delta(self.spark, self.sf_dir)
+
+    @cached_property
+    def requests(self):
+        return demo.requests(self.spark, self.sf_dir)
+
+    @cached_property
+    def marts(self):
+        return BuiltMarts(self, demo.RUN_TS, demo.ALIASES)
 
+    @cached_property
     def parsed(self):
         return parse_transactions(self.led, demo.ALIASES)
 
+    @property
     def staged(self):
-        return resolve_transactions(self.parsed())
+        return self.marts.staged
 
+    @property
     def stated(self):
-        return load_facilities(empty(self.spark, DIM_FACILITY), facilities(self.fac), demo.RUN_TS)
-
-    def source(self):
-        return fact_source(self.staged(), self.stated())
+        return self.marts.stated
 
+    @property
     def fact(self):
-        return first_fact(self.source(), demo.RUN_TS)
+        return self.marts.fact
 
+    @cached_property
+    def source(self):
+        return fact_source(self.staged, self.stated)
+
+    @cached_property
     def delta_source(self):
         staged = resolve_transactions(parse_transactions(self.delta, demo.ALIASES))
-        return fact_source(staged, self.stated())
-
-    def marts(self):
-        return build_marts(self.spark, self.crm, self.fac, self.led, demo.RUN_TS, demo.ALIASES)
+        return fact_source(staged, self.stated)
 
     def second_exports(self):
         """The next full exports, in which the duplicate copies are gone."""
@@ -138,7 +163,7 @@ def load_once_query(b):
 
 
 def txn_parsed(b):
-    return b.parsed().select(
+    return b.parsed.select(
         "file_name", "file_row_number", "transaction_id", "transaction_date_raw", "amount_raw",
         "transaction_date", "fund_description", "share_class", "facility_id",
         "transaction_type", "amount", "parse_fail_fields",
@@ -146,7 +171,7 @@ def txn_parsed(b):
 
 
 def txn_flags(b):
-    flagged = flag_transactions(b.parsed())
+    flagged = flag_transactions(b.parsed)
     flags = [c for c in flagged.columns if c.endswith("conflict_ind")]
     return flagged.select(
         "file_name", "file_row_number", "transaction_id", "record_number", "duplicate_ind",
@@ -160,18 +185,17 @@ def txn_newest_delivery(b):
 
 
 def txn_audit(b):
-    return audit_transactions(b.parsed(), demo.RUN_TS)
+    return audit_transactions(b.parsed, demo.RUN_TS)
 
 
 def audit_append(b):
     """The audit after the same batch was audited twice."""
-    once = audit_transactions(b.parsed(), demo.RUN_TS)
-    return once.unionByName(absent_only(audit_transactions(b.parsed(), SECOND_RUN), once))
+    once = audit_transactions(b.parsed, demo.RUN_TS)
+    return once.unionByName(absent_only(audit_transactions(b.parsed, SECOND_RUN), once))
 
 
 def scd2_initial(b):
-    return load_organizations(empty(b.spark, DIM_ORGANIZATION),
-                              organizations(b.crm, b.fac), demo.RUN_TS)
+    return load_organizations(None, organizations(b.crm, b.fac), demo.RUN_TS)
 
 
 def scd2_second_run(b):
@@ -202,33 +226,33 @@ def guard_rows(b):
     return line(
         "organization", scd2_initial(b), "organization_sk", "organization_id",
         organization_guard(b.spark, SECOND_RUN),
-    ).unionByName(line("facility", b.stated(), "facility_sk", "facility_id",
+    ).unionByName(line("facility", b.stated, "facility_sk", "facility_id",
                        facility_guard(b.spark, SECOND_RUN)))
 
 
 def outcomes_of(b, source):
-    return upsert_outcomes(b.fact(), source, "transaction_id", SECOND_RUN)
+    return upsert_outcomes(b.fact, source, "transaction_id", SECOND_RUN)
 
 
 def orphan_reresolution(b):
     """The ledger loads when only one fund's facilities are known; then the rest arrive."""
-    partial = b.stated().filter((F.col("fund_description") != demo.RECEIVABLES)
+    partial = b.stated.filter((F.col("fund_description") != demo.RECEIVABLES)
                                 | F.col("fund_description").isNull())
-    early = first_fact(fact_source(b.staged(), partial), demo.RUN_TS)
-    return resolve_orphans(early, b.stated()).select(
+    early = first_fact(fact_source(b.staged, partial), demo.RUN_TS)
+    return resolve_orphans(early, b.stated).select(
         "transaction_id", "facility_sk", "fund_description", "change_tracking_key"
     )
 
 
 def running_balance_query(b):
-    return running_balance(b.fact()).select(
+    return running_balance(b.fact).select(
         "transaction_id", "facility_id", "transaction_date", "amount", "facility_balance"
     )
 
 
 def balance_correction(b):
-    stated = b.stated()
-    now = correct_balances(stated, net_funds(b.fact()))
+    stated = b.stated
+    now = correct_balances(stated, net_funds(b.fact))
     before = stated.select("facility_id", F.col("net_funds_employed").alias("stated_balance"))
     return current_members(now).join(before, "facility_id").select(
         "facility_id", "stated_balance", "net_funds_employed"
@@ -237,9 +261,9 @@ def balance_correction(b):
 
 def nfe_movement(b):
     """Balances before and after the second delivery."""
-    stated = b.stated()
-    before = correct_balances(stated, net_funds(b.fact()))
-    after_fact = load_fact(b.fact(), b.delta_source(), SECOND_RUN)
+    stated = b.stated
+    before = correct_balances(stated, net_funds(b.fact))
+    after_fact = load_fact(b.fact, b.delta_source, SECOND_RUN)
     after = correct_balances(stated, net_funds(after_fact))
     return quality.balance_movement(current_members(before), after)
 
@@ -252,27 +276,27 @@ def stream_incremental(b):
     for delivery in (b.led, b.delta):
         write_export(delivery, LEDGER_FIELDS, f"{root}/landing")
         job.run(f"{root}/landing", f"{root}/checkpoint", SECOND_RUN, "*.csv")
-    return current_members(job.marts().facility).select("facility_id", "net_funds_employed")
+    return current_members(job.marts.facility).select("facility_id", "net_funds_employed")
 
 
 def layer_counts(b):
-    return quality.layer_counts(b.led, b.staged(), b.fact(), txn_audit(b))
+    return quality.layer_counts(b.led, b.staged, b.fact, txn_audit(b))
 
 
 def row_conservation(b):
-    return quality.row_conservation(b.parsed())
+    return quality.row_conservation(b.parsed)
 
 
 def dq_log(b):
-    return quality.quality_log(b.crm, b.fac, b.led, b.marts(), facilities(b.fac), demo.ALIASES)
+    return quality.quality_log(b.crm, b.fac, b.led, b.marts, facilities(b.fac), demo.ALIASES)
 
 
 def ri_check(b):
-    return quality.integrity_checks(b.marts(), organizations(b.crm, b.fac), facilities(b.fac))
+    return quality.integrity_checks(b.marts, organizations(b.crm, b.fac), facilities(b.fac))
 
 
 def accepted_remittances(b):
-    return intake.accepted_rows(b.requests, serving.api_loan(b.marts()), TODAY, demo.RUN_TS)
+    return intake.accepted_rows(b.requests, serving.api_loan(b.marts), TODAY, demo.RUN_TS)
 
 
 QUERIES = {
@@ -296,7 +320,7 @@ QUERIES = {
     "facility_audit": lambda b: facility_audit(b.fac),
     "txn_parsed": txn_parsed,
     "txn_flags": txn_flags,
-    "txn_resolved": lambda b: b.staged(),
+    "txn_resolved": lambda b: b.staged,
     "txn_newest_delivery": txn_newest_delivery,
     "txn_audit": txn_audit,
     "audit_append": audit_append,
@@ -306,15 +330,15 @@ QUERIES = {
     "scd2_second_run": scd2_second_run,
     "scd2_second_run_organizations": scd2_second_run_organizations,
     "guard_rows": guard_rows,
-    "fact_resolved": lambda b: b.source(),
-    "fact_upsert": lambda b: load_fact(b.fact(), b.delta_source(), SECOND_RUN),
-    "upsert_outcomes": lambda b: outcomes_of(b, b.delta_source()).select(
+    "fact_resolved": lambda b: b.source,
+    "fact_upsert": lambda b: load_fact(b.fact, b.delta_source, SECOND_RUN),
+    "upsert_outcomes": lambda b: outcomes_of(b, b.delta_source).select(
         "transaction_id", "outcome"),
-    "fact_resend_noop": lambda b: outcomes_of(b, b.source()).groupBy("outcome").agg(
+    "fact_resend_noop": lambda b: outcomes_of(b, b.source).groupBy("outcome").agg(
         F.count("*").alias("n")),
     "orphan_reresolution": orphan_reresolution,
     "running_balance": running_balance_query,
-    "net_funds": lambda b: net_funds(b.fact()),
+    "net_funds": lambda b: net_funds(b.fact),
     "balance_correction": balance_correction,
     "nfe_movement": nfe_movement,
     "stream_incremental": stream_incremental,
@@ -322,39 +346,39 @@ QUERIES = {
     "layer_counts": layer_counts,
     "row_conservation": row_conservation,
     "ri_check": ri_check,
-    "join_fan_out": lambda b: quality.join_fan_out(b.marts()),
+    "join_fan_out": lambda b: quality.join_fan_out(b.marts),
     "provenance_counts": lambda b: quality.provenance_counts(organizations(b.crm, b.fac)),
     "collapsed_names": lambda b: quality.collapsed_names(b.crm, b.fac),
-    "recon_checks": lambda b: quality.reconciliations(b.marts(), demo.YEAR),
-    "privacy_check": lambda b: quality.privacy_check(b.marts()),
-    "open_share": lambda b: quality.open_share(b.marts()),
-    "serving_check": lambda b: quality.serving_check(b.marts()),
-    "closed_receipts": lambda b: quality.closed_receipts(b.marts()),
+    "recon_checks": lambda b: quality.reconciliations(b.marts, demo.YEAR),
+    "privacy_check": lambda b: quality.privacy_check(b.marts),
+    "open_share": lambda b: quality.open_share(b.marts),
+    "serving_check": lambda b: quality.serving_check(b.marts),
+    "closed_receipts": lambda b: quality.closed_receipts(b.marts),
     # portfolio
-    "total_outstanding": lambda b: portfolio.total_outstanding(b.marts()),
-    "outstanding_by_status": lambda b: portfolio.outstanding_by_status(b.marts()),
-    "blank_balances": lambda b: portfolio.blank_balances(b.fac, b.marts()),
-    "orphan_recon": lambda b: portfolio.orphan_totals(b.marts()),
-    "orphan_facilities": lambda b: portfolio.orphan_facilities(b.marts()),
-    "top_borrowers": lambda b: portfolio.top_borrowers(b.marts()),
-    "excluded_exposure": lambda b: portfolio.excluded_exposure(b.marts()),
-    "excluded_facilities": lambda b: portfolio.excluded_facilities(b.marts()),
-    "monthly_remittances": lambda b: portfolio.monthly_remittances(b.marts(), demo.YEAR),
-    "year_totals": lambda b: portfolio.year_totals(b.marts(), demo.YEAR),
-    "orphan_remittances": lambda b: portfolio.orphan_remittances(b.marts(), demo.YEAR),
+    "total_outstanding": lambda b: portfolio.total_outstanding(b.marts),
+    "outstanding_by_status": lambda b: portfolio.outstanding_by_status(b.marts),
+    "blank_balances": lambda b: portfolio.blank_balances(b.fac, b.marts),
+    "orphan_recon": lambda b: portfolio.orphan_totals(b.marts),
+    "orphan_facilities": lambda b: portfolio.orphan_facilities(b.marts),
+    "top_borrowers": lambda b: portfolio.top_borrowers(b.marts),
+    "excluded_exposure": lambda b: portfolio.excluded_exposure(b.marts),
+    "excluded_facilities": lambda b: portfolio.excluded_facilities(b.marts),
+    "monthly_remittances": lambda b: portfolio.monthly_remittances(b.marts, demo.YEAR),
+    "year_totals": lambda b: portfolio.year_totals(b.marts, demo.YEAR),
+    "orphan_remittances": lambda b: portfolio.orphan_remittances(b.marts, demo.YEAR),
     "raw_name_loss": lambda b: portfolio.raw_name_loss(b.crm, b.fac),
-    "exposure_by_industry": lambda b: portfolio.exposure_by_industry(b.marts()),
-    "unmapped_borrowers": lambda b: portfolio.unmapped_borrowers(b.marts()),
-    "outside_year_latest": lambda b: portfolio.outside_year(b.marts(), demo.YEAR),
-    "investor_summary": lambda b: portfolio.investor_summary(b.marts()),
+    "exposure_by_industry": lambda b: portfolio.exposure_by_industry(b.marts),
+    "unmapped_borrowers": lambda b: portfolio.unmapped_borrowers(b.marts),
+    "outside_year_latest": lambda b: portfolio.outside_year(b.marts, demo.YEAR),
+    "investor_summary": lambda b: portfolio.investor_summary(b.marts),
     # serving
-    "api_borrower": lambda b: serving.api_borrower(b.marts()),
-    "api_loan": lambda b: serving.api_loan(b.marts()),
-    "loan_page": lambda b: serving.loan_page(b.marts(), "active", demo.TERM.upper(), 50, 100),
-    "borrower_loans": lambda b: serving.borrower_loans(b.marts(), "crm-000000000001"),
-    "loans_per_borrower": lambda b: serving.loans_per_borrower(b.marts()),
-    "portfolio_summary": lambda b: serving.portfolio_summary(b.marts()),
+    "api_borrower": lambda b: serving.api_borrower(b.marts),
+    "api_loan": lambda b: serving.api_loan(b.marts),
+    "loan_page": lambda b: serving.loan_page(b.marts, "active", demo.TERM.upper(), 50, 100),
+    "borrower_loans": lambda b: serving.borrower_loans(b.marts, "crm-000000000001"),
+    "loans_per_borrower": lambda b: serving.loans_per_borrower(b.marts),
+    "portfolio_summary": lambda b: serving.portfolio_summary(b.marts),
     "remittance_intake": lambda b: intake.request_outcomes(
-        b.requests, serving.api_loan(b.marts()), TODAY),
+        b.requests, serving.api_loan(b.marts), TODAY),
     "accepted_remittances": accepted_remittances,
 }

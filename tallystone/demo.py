@@ -257,9 +257,21 @@ def request_sql(d, events="events"):
     return _select(columns, events)
 
 
+def _read(spark, path):
+    """A test table. A small one is dealt out to all cores, as it may be a single block.
+
+    Anything larger than the limit has blocks of its own for every core and is not moved.
+    """
+    table = spark.read.parquet(path)
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if 1 << 20 < size < 1 << 30:
+        return table.repartition(spark.sparkContext.defaultParallelism)
+    return table
+
+
 def _run(spark, sf_dir, build, tables):
     """The dirty view as a DataFrame over the parquet tables."""
-    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    read = {t: _read(spark, f"{sf_dir}/{t}.parquet") for t in tables}
     text = build(SparkText(), **{t: f"@{t}@" for t in tables})
     for table in tables:
         text = text.replace(f"@{table}@", "{" + table + "}")

@@ -15,7 +15,7 @@ def any_date(text):
 def ledger_date(text):
     """``10-Feb-26`` as the ledger writes it, or ISO as requests write it."""
     return F.when(
-        F.rlike(text, F.lit(r"^\d{4}-")), F.try_to_date(text, "yyyy-MM-dd")
+        F.substring(text, 5, 1) == "-", F.try_to_date(text, "yyyy-MM-dd")
     ).otherwise(F.try_to_date(text, "d-MMM-yy"))
 
 

@@ -1,27 +1,18 @@
 """Surrogate keys and change-tracking hashes."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..model import NULL_MARK
 
 
-def _shown(column):
-    return F.coalesce(F.col(column).cast("string"), F.lit(NULL_MARK))
-
-
 def surrogate_key(column):
     return F.md5(F.coalesce(column.cast("string"), F.lit(NULL_MARK)))
 
 
 def row_hash(columns):
     """One md5 over named columns, in order; NULL is a value like any other."""
-    return F.md5(F.concat_ws("||", *[_shown(c) for c in columns]))
-
-
-def any_of(conditions):
-    return reduce(lambda left, right: left | right, conditions)
+    shown = ", ".join(f"coalesce(cast({c} as string), '{NULL_MARK}')" for c in columns)
+    return F.expr(f"md5(concat_ws('||', {shown}))")
 
 
 def failed_fields(checks):

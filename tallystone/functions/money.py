@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 
 def currency(text):
     """``$1,017,125.00`` and ``1017125`` as decimal(35,3)."""
-    return F.regexp_replace(text, "[$,]", "").try_cast("decimal(35,3)")
+    return F.translate(text, "$,", "").try_cast("decimal(35,3)")
 
 
 def accounting_amount(text):
     """As written in a ledger: thousands separators, parentheses for negative."""
-    size = F.regexp_replace(text, "[,()]", "").try_cast("decimal(35,3)")
-    return F.when(F.rlike(text, F.lit(r"^\(.*\)$")), -size).otherwise(size).cast("decimal(35,3)")
+    size = F.translate(text, ",()", "").try_cast("decimal(35,3)")
+    negative = F.startswith(text, F.lit("(")) & F.endswith(text, F.lit(")"))
+    return F.when(negative, -size).otherwise(size).cast("decimal(35,3)")
 
 
 def rate(text):

@@ -2,39 +2,34 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.keys import any_of
-
 
 def collapse_copies(rows, keys, fields, usable=None):
     """One row per key with each field's agreed value and a ``<field>_conflict_ind``.
 
     NULL counts as a value: a copy without it disagrees with one that has it. Copies for
-    which ``usable`` is false are counted in ``copies`` but have no say in the fields, and
+    which the SQL condition ``usable`` is false are counted in ``copies`` but have no say in the fields, and
     a key with no usable copy comes out with ``usable_copies`` = 0. This is a plain
     aggregate, so copies meet in partial results before the shuffle however many there are.
     """
-    voice = (lambda c: c) if usable is None else (lambda c: F.when(usable, c))
-    voters = F.count("*") if usable is None else F.count_if(usable)
-    measures = [F.count("*").alias("copies"), voters.alias("usable_copies")]
-    for field in fields:
-        value = voice(F.col(field))
-        measures += [
-            F.min(value).alias(f"_low_{field}"),
-            F.max(value).alias(f"_high_{field}"),
-            F.count(value).alias(f"_set_{field}"),
-        ]
-    gathered = rows.groupBy(*keys).agg(*measures)
+    def measures(field):
+        value = field if usable is None else f"case when {usable} then {field} end"
+        return [f"min({value}) as _low_{field}", f"max({value}) as _high_{field}",
+                f"count({value}) as _set_{field}"]
 
     def differs(field):
-        some_missing = F.col(f"_set_{field}").between(1, F.col("usable_copies") - 1)
-        unequal = F.col(f"_low_{field}") != F.col(f"_high_{field}")
-        return some_missing | F.coalesce(unequal, F.lit(False))
-
-    return gathered.select(
+        return (f"(_set_{field} between 1 and usable_copies - 1"
+                f" or coalesce(_low_{field} <> _high_{field}, false))")
+
+    voters = "count(*)" if usable is None else f"count_if({usable})"
+    wanted = ["count(*) as copies", f"{voters} as usable_copies"]
+    wanted += [m for field in fields for m in measures(field)]
+    gathered = rows.groupBy(*keys).agg(*[F.expr(m) for m in wanted])
+    return gathered.selectExpr(
         *keys, "copies", "usable_copies",
-        *[F.when(~differs(f), F.col(f"_high_{f}")).alias(f) for f in fields],
-        *[differs(f).alias(f"{f}_conflict_ind") for f in fields],
-    ).withColumn("conflict_ind", any_of([F.col(f"{f}_conflict_ind") for f in fields]))
+        *[f"case when not {differs(f)} then _high_{f} end as {f}" for f in fields],
+        *[f"{differs(f)} as {f}_conflict_ind" for f in fields],
+        f"{' or '.join(differs(f) for f in fields)} as conflict_ind",
+    )
 
 
 def newest_only(collapsed, key, delivery):

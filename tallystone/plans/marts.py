@@ -1,14 +1,18 @@
 """Dimensions and the transaction fact."""
 
+from functools import cached_property
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import row_hash
 from ..model import (
     DIM_FACILITY, DIM_ORGANIZATION, END_OF_TIME, FACT, FACT_SOURCE, FROM_NOWHERE, NO_FACILITY,
-    NO_ORGANIZATION, REMITTANCE, empty,
+    NO_ORGANIZATION, REMITTANCE,
 )
 from ..operators.balances import correct_balances, net_funds_of_staged
-from ..operators.scd2 import scd2_merge, with_guard
+from ..operators.scd2 import first_versions, scd2_merge, with_guard
 from ..operators.skew import salted_lookup
 from ..operators.upsert import upsert
 from .facilities import facilities
@@ -20,21 +24,21 @@ HASHED = FACT_SOURCE.fieldNames()[:-1]
 
 def _guard_row(spark, schema, label, texts, run_ts):
     """The member that stands for "unknown": its label in the given columns."""
-    special = {
-        "record_version_number": F.lit(1),
-        "is_current_ind": F.lit(True),
-        "record_valid_from_ts": F.lit(run_ts),
-        "record_valid_to_ts": F.lit(END_OF_TIME),
-        "source_system": F.lit(FROM_NOWHERE),
-        "change_tracking_key": F.md5(F.lit(label)),
-        "scd_id": F.md5(F.concat_ws("||", F.md5(F.lit(label)), F.lit("1"))),
+    fixed = {
+        "record_version_number": "1",
+        "is_current_ind": "true",
+        "record_valid_from_ts": f"'{run_ts}'",
+        "record_valid_to_ts": f"'{END_OF_TIME}'",
+        "source_system": f"'{FROM_NOWHERE}'",
+        "organization_sk": f"md5('{NO_ORGANIZATION}')",
+        "facility_sk": f"md5('{NO_FACILITY}')",
+        "change_tracking_key": f"md5('{label}')",
+        "scd_id": f"md5(md5('{label}') || '||1')",
+        **{c: f"'{label}'" for c in texts},
     }
-    special.update({c: F.lit(label) for c in texts})
-    special.update({c: F.md5(F.lit(NO_ORGANIZATION)) for c in ["organization_sk"]})
-    if "facility_sk" in schema.fieldNames():
-        special["facility_sk"] = F.md5(F.lit(label))
-    return spark.range(1).select(*[
-        special.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    return spark.range(1).selectExpr(*[
+        f"cast({fixed.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}"
+        for f in schema.fields
     ])
 
 
@@ -48,16 +52,22 @@ def facility_guard(spark, run_ts):
     return _guard_row(spark, DIM_FACILITY, NO_FACILITY, texts, run_ts)
 
 
+def _load(dimension, staged, key, guard, run_ts):
+    if dimension is None:
+        loaded = first_versions(staged, key, run_ts)
+        return loaded.unionByName(guard)
+    return with_guard(scd2_merge(dimension, staged, key, run_ts), guard, key)
+
+
 def load_organizations(dimension, staged, run_ts):
+    """The dimension after a load; ``None`` stands for a dimension that does not exist yet."""
     guard = organization_guard(staged.sparkSession, run_ts)
-    return with_guard(scd2_merge(dimension, staged, "organization_sk", run_ts), guard,
-                      "organization_sk")
+    return _load(dimension, staged, "organization_sk", guard, run_ts)
 
 
 def load_facilities(dimension, staged, run_ts):
     guard = facility_guard(staged.sparkSession, run_ts)
-    return with_guard(scd2_merge(dimension, staged, "facility_sk", run_ts), guard,
-                      "facility_sk")
+    return _load(dimension, staged, "facility_sk", guard, run_ts)
 
 
 def current_members(dimension, key="facility_id", guard=NO_FACILITY):
@@ -83,19 +93,14 @@ def fact_source(staged, dim_facility):
 
 def finish_fact(found):
     """Indicators and hash for rows that carry ``facility_sk`` and ``servicing_fund``."""
-    negative = (F.col("transaction_type") == REMITTANCE) & (F.col("amount") < 0)
-    resolved = found.select(
+    resolved = found.selectExpr(
         "transaction_sk", "transaction_id", "transaction_date",
-        F.coalesce("servicing_fund", "fund_description").alias("fund_description"),
-        "share_class",
-        F.coalesce("facility_sk", F.md5(F.lit(NO_FACILITY))).alias("facility_sk"),
-        "facility_id", "transaction_type", "amount",
-        F.col("facility_sk").isNotNull().alias("known_facility_ind"),
-        F.coalesce(negative, F.lit(False)).alias("adjustment_ind"),
-    )
-    return resolved.withColumn("change_tracking_key", row_hash(HASHED)).select(
-        *FACT_SOURCE.fieldNames()
+        "coalesce(servicing_fund, fund_description) as fund_description", "share_class",
+        f"coalesce(facility_sk, md5('{NO_FACILITY}')) as facility_sk", "facility_id",
+        "transaction_type", "amount", "facility_sk is not null as known_facility_ind",
+        f"coalesce(transaction_type = '{REMITTANCE}' and amount < 0, false) as adjustment_ind",
     )
+    return resolved.withColumn("change_tracking_key", row_hash(HASHED))
 
 
 def resolve_orphans(fact, dim_facility):
@@ -121,7 +126,7 @@ def load_fact(fact, source, run_ts):
 
 
 class Marts:
-    """The three mart tables of one state of the data."""
+    """The three mart tables of one state of the data, as stored."""
 
     def __init__(self, organization, facility, fact):
         self.organization = organization
@@ -129,13 +134,39 @@ class Marts:
         self.fact = fact
 
 
-def build_marts(spark, crm_raw, facility_raw, ledger_raw, run_ts, aliases=None):
-    """All marts from the raw exports, balances corrected by the ledger."""
-    dim_organization = load_organizations(
-        empty(spark, DIM_ORGANIZATION), organizations(crm_raw, facility_raw), run_ts
-    )
-    stated = load_facilities(empty(spark, DIM_FACILITY), facilities(facility_raw), run_ts)
-    staged = resolve_transactions(parse_transactions(ledger_raw, aliases))
-    fact = first_fact(fact_source(staged, stated), run_ts)
-    nfe = net_funds_of_staged(staged, current_members(stated))
-    return Marts(dim_organization, correct_balances(stated, nfe), fact)
+class Exports(NamedTuple):
+    """The raw tables of the three systems."""
+
+    crm: DataFrame
+    fac: DataFrame
+    led: DataFrame
+
+
+class BuiltMarts:
+    """All marts from the raw exports, each defined when it is first asked for."""
+
+    def __init__(self, exports, run_ts, aliases=None):
+        self.exports, self.run_ts, self.aliases = exports, run_ts, aliases
+
+    @cached_property
+    def organization(self):
+        borrowers = organizations(self.exports.crm, self.exports.fac)
+        return load_organizations(None, borrowers, self.run_ts)
+
+    @cached_property
+    def stated(self):
+        """Facilities with the balances the servicing system states."""
+        return load_facilities(None, facilities(self.exports.fac), self.run_ts)
+
+    @cached_property
+    def staged(self):
+        return resolve_transactions(parse_transactions(self.exports.led, self.aliases))
+
+    @cached_property
+    def facility(self):
+        """Facilities with the balances the ledger shows."""
+        return correct_balances(self.stated, net_funds_of_staged(self.staged))
+
+    @cached_property
+    def fact(self):
+        return first_fact(fact_source(self.staged, self.stated), self.run_ts)

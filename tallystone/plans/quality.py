@@ -13,7 +13,7 @@ from .portfolio import (
     remittances,
 )
 from .serving import api_borrower, api_loan
-from .transactions import agreed_by_id, parse_transactions
+from .transactions import parse_transactions, readable_by_id
 
 # The rule catalogue: layer, table, field, kind of issue, what is wrong, what is done.
 RULES = {
@@ -139,7 +139,7 @@ def measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases):
         F.count_if(F.col("fund") != F.col("fund_description")).alias("txn_alias"),
         F.count_if("parse_fail_ind").alias("txn_bad"),
     )
-    by_id = agreed_by_id(parsed.filter(~F.col("parse_fail_ind")), None).agg(
+    by_id = readable_by_id(parsed).agg(
         F.count_if("fund_description_conflict_ind").alias("txn_fund_conflict"),
         F.count_if("amount_conflict_ind").alias("txn_amount_conflict"),
     )
@@ -172,7 +172,7 @@ def measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases):
 
 def quality_log(crm_raw, facility_raw, ledger_raw, marts, stated, aliases=None):
     """The rule catalogue with the number of rows each rule concerns in this load."""
-    spark = marts.fact.sparkSession
+    spark = ledger_raw.sparkSession
     catalogue = spark.createDataFrame(
         [(rule, "TABLE", *entry) for rule, entry in RULES.items()],
         "rule string, object_type string, object_schema string, object_name string, "
@@ -298,8 +298,8 @@ def row_conservation(parsed):
         F.count("*").alias("raw_rows"),
         F.count_if("parse_fail_ind").alias("quarantined"),
     ).crossJoin(
-        agreed_by_id(parsed.filter(~F.col("parse_fail_ind")), None)
-        .agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("staged_copies"))
+        readable_by_id(parsed)
+        .agg(F.coalesce(F.sum("usable_copies"), F.lit(0)).alias("staged_copies"))
     ).withColumn("result", verdict(
         F.col("raw_rows") == F.col("quarantined") + F.col("staged_copies")))
 

@@ -50,7 +50,7 @@ def parse_transactions(ledger_raw, aliases=None):
 def agreed_by_id(parsed, delivery):
     """Agreed values and conflict flags per transaction id, blank ids together."""
     keyed = parsed.withColumn("id_key", F.coalesce("transaction_id", F.lit(NULL_MARK)))
-    readable = ~F.col("parse_fail_ind")
+    readable = "not parse_fail_ind"
     if delivery is None:
         return collapse_copies(keyed, ["id_key"], FIELDS, readable)
     per_delivery = collapse_copies(keyed, ["id_key", delivery], FIELDS, readable)
@@ -61,6 +61,15 @@ def agreed_by_id(parsed, delivery):
     return newest_only(speaking, "id_key", delivery)
 
 
+def readable_by_id(parsed, delivery=None):
+    """The ids with at least one readable copy.
+
+    Filtering after the aggregate spares the rows a second parse: a filter on parsed
+    columns would be pushed down to the texts and parse them again.
+    """
+    return agreed_by_id(parsed, delivery).filter("usable_copies > 0")
+
+
 def flag_transactions(parsed, delivery=None):
     """All rows, each with its copy number, duplicate flag and the six conflict flags."""
     groups = agreed_by_id(parsed, delivery)
@@ -73,10 +82,7 @@ def flag_transactions(parsed, delivery=None):
     joined = salted_lookup(
         keyed, repeated, ["id_key"], ["file_name", "file_row_number"], sizes
     )
-    yes_or_no = {
-        c: F.coalesce(F.col(c), F.lit(False)) for c in ["duplicate_ind", *flags, "conflict_ind"]
-    }
-    flagged = joined.withColumns(yes_or_no)
+    flagged = joined.fillna(False, ["duplicate_ind", *flags, "conflict_ind"])
     return number_copies(flagged, "id_key").drop("id_key")
 
 
@@ -85,8 +91,7 @@ def resolve_transactions(parsed, delivery=None):
 
     ``delivery`` names the column that tells deliveries of one batch apart, if any.
     """
-    readable = parsed.filter(~F.col("parse_fail_ind"))
-    resolved = agreed_by_id(readable, delivery).withColumnRenamed("id_key", "transaction_id")
+    resolved = readable_by_id(parsed, delivery).withColumnRenamed("id_key", "transaction_id")
     return resolved.withColumn("transaction_sk", surrogate_key(F.col("transaction_id"))).select(
         *TRANSACTION.fieldNames()
     )
