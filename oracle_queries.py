@@ -545,6 +545,9 @@ def oracle():
             (select facility_id from stated where fund_description = '{demo.RECEIVABLES}')""",
         "running_balance": f"""select transaction_id, facility_id, transaction_date, amount,
             facility_balance from ({RUNNING.format(fact='fact')})""",
+        "full_rebuild": """select 'organization' as table_name, count(*) + 1 as rows from org
+            union all select 'facility', count(*) + 1 from stated
+            union all select 'fact', count(*) from fact""",
         "net_funds": "select facility_sk, net_funds_employed from nfe",
         "balance_correction": """select d.facility_id, s.net_funds_employed as stated_balance,
             d.net_funds_employed from dim d join stated s using (facility_id)""",

@@ -79,15 +79,21 @@ def current_borrowers(dim_organization):
     return current_members(dim_organization, "organization_id", NO_ORGANIZATION)
 
 
-def fact_source(staged, dim_facility):
+def fact_source(staged, dim_facility, ledger_raw=None):
     """Staged transactions with facility key, servicing fund name and indicators.
 
-    A transaction that cites an unknown facility is kept on the guard member.
+    A transaction that cites an unknown facility is kept on the guard member. The raw rows,
+    when given, tell which facilities are heavy without resolving transactions twice.
     """
+    sizes = None
+    if ledger_raw is not None:
+        sizes = ledger_raw.groupBy(F.col("investment_ref").alias("facility_id")).agg(
+            F.count("*").alias("rows")
+        )
     known = current_members(dim_facility).select(
         "facility_id", "facility_sk", F.col("fund_description").alias("servicing_fund")
     )
-    found = salted_lookup(staged, known, ["facility_id"], ["transaction_id"])
+    found = salted_lookup(staged, known, ["facility_id"], ["transaction_id"], sizes)
     return finish_fact(found)
 
 
@@ -169,4 +175,6 @@ class BuiltMarts:
 
     @cached_property
     def fact(self):
-        return first_fact(fact_source(self.staged, self.stated), self.run_ts)
+        return first_fact(
+            fact_source(self.staged, self.stated, self.exports.led), self.run_ts
+        )
