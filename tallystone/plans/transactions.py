@@ -70,8 +70,8 @@ def readable_by_id(parsed, delivery=None):
     return agreed_by_id(parsed, delivery).filter("usable_copies > 0")
 
 
-def flag_transactions(parsed, delivery=None):
-    """All rows, each with its copy number, duplicate flag and the six conflict flags."""
+def _flagged(parsed, delivery):
+    """All rows, each with its duplicate flag and the six conflict flags."""
     groups = agreed_by_id(parsed, delivery)
     sizes = groups.select("id_key", F.col("copies").alias("rows"))
     flags = [f"{f}_conflict_ind" for f in FIELDS]
@@ -82,8 +82,12 @@ def flag_transactions(parsed, delivery=None):
     joined = salted_lookup(
         keyed, repeated, ["id_key"], ["file_name", "file_row_number"], sizes
     )
-    flagged = joined.fillna(False, ["duplicate_ind", *flags, "conflict_ind"])
-    return number_copies(flagged, "id_key").drop("id_key")
+    return joined.fillna(False, ["duplicate_ind", *flags, "conflict_ind"])
+
+
+def flag_transactions(parsed, delivery=None):
+    """All rows, each with its copy number, duplicate flag and the six conflict flags."""
+    return number_copies(_flagged(parsed, delivery), "id_key").drop("id_key")
 
 
 def resolve_transactions(parsed, delivery=None):
@@ -100,7 +104,8 @@ def resolve_transactions(parsed, delivery=None):
 def audit_transactions(parsed, run_ts, delivery=None):
     """Duplicates, conflicts and unreadable rows, as delivered, with the reasons."""
     suspect = F.col("duplicate_ind") | F.col("conflict_ind") | F.col("parse_fail_ind")
-    listed = flag_transactions(parsed, delivery).filter(suspect)
+    # an id has either all its copies listed or, being unrepeated, its only one
+    listed = number_copies(_flagged(parsed, delivery).filter(suspect), "id_key")
     as_delivered = {"transaction_date": "transaction_date_raw", "amount": "amount_raw"}
     return listed.select(
         *[F.col(as_delivered.get(c, c)).alias(c) for c in LEDGER_RAW.fieldNames()],
