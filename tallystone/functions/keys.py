@@ -17,5 +17,4 @@ def row_hash(columns):
 
 def failed_fields(checks):
     """Names of the checks that hold, as ``A, B``; empty text when none does."""
-    named = [F.when(failed, F.lit(name)) for name, failed in checks.items()]
-    return F.array_join(F.array_compact(F.array(*named)), ", ")
+    return F.concat_ws(", ", *[F.when(failed, name) for name, failed in checks.items()])

@@ -82,7 +82,8 @@ def facility_audit(facility_raw):
     raw_again = [
         F.col(f"{c}_raw").alias(c) for c in FACILITY_RAW.fieldNames()[1:10]
     ]
-    return number_copies(listed, "facility_id").select(
+    # a repeated facility has all its copies listed, so block sizes come from the raw rows
+    return number_copies(listed, "facility_id", counted=facility_raw).select(
         "facility_id", *raw_again, "file_name", "file_row_number", "file_last_modified",
         "record_number",
         row_hash(["facility_id", "record_number"]).alias("duplicate_id"),

@@ -47,9 +47,14 @@ def parse_transactions(ledger_raw, aliases=None):
     })).withColumn("parse_fail_ind", F.col("parse_fail_fields") != "")
 
 
+def with_id_key(parsed):
+    """Rows without an id share one key."""
+    return parsed.withColumn("id_key", F.coalesce("transaction_id", F.lit(NULL_MARK)))
+
+
 def agreed_by_id(parsed, delivery):
     """Agreed values and conflict flags per transaction id, blank ids together."""
-    keyed = parsed.withColumn("id_key", F.coalesce("transaction_id", F.lit(NULL_MARK)))
+    keyed = with_id_key(parsed)
     readable = "not parse_fail_ind"
     if delivery is None:
         return collapse_copies(keyed, ["id_key"], FIELDS, readable)
@@ -78,7 +83,7 @@ def _flagged(parsed, delivery):
     repeated = groups.filter("copies > 1").select(
         "id_key", F.lit(True).alias("duplicate_ind"), *flags, "conflict_ind"
     )
-    keyed = parsed.withColumn("id_key", F.coalesce("transaction_id", F.lit(NULL_MARK)))
+    keyed = with_id_key(parsed)
     joined = salted_lookup(
         keyed, repeated, ["id_key"], ["file_name", "file_row_number"], sizes
     )
@@ -87,7 +92,9 @@ def _flagged(parsed, delivery):
 
 def flag_transactions(parsed, delivery=None):
     """All rows, each with its copy number, duplicate flag and the six conflict flags."""
-    return number_copies(_flagged(parsed, delivery), "id_key").drop("id_key")
+    counted = with_id_key(parsed).select("id_key", "file_name", "file_row_number")
+    flagged = _flagged(parsed, delivery)
+    return number_copies(flagged, "id_key", counted=counted).drop("id_key")
 
 
 def resolve_transactions(parsed, delivery=None):
@@ -104,8 +111,11 @@ def resolve_transactions(parsed, delivery=None):
 def audit_transactions(parsed, run_ts, delivery=None):
     """Duplicates, conflicts and unreadable rows, as delivered, with the reasons."""
     suspect = F.col("duplicate_ind") | F.col("conflict_ind") | F.col("parse_fail_ind")
-    # an id has either all its copies listed or, being unrepeated, its only one
-    listed = number_copies(_flagged(parsed, delivery).filter(suspect), "id_key")
+    # a repeated id has all its copies listed, so block sizes may come from the raw rows
+    counted = with_id_key(parsed).select("id_key", "file_name", "file_row_number")
+    listed = number_copies(
+        _flagged(parsed, delivery).filter(suspect), "id_key", counted=counted
+    )
     as_delivered = {"transaction_date": "transaction_date_raw", "amount": "amount_raw"}
     return listed.select(
         *[F.col(as_delivered.get(c, c)).alias(c) for c in LEDGER_RAW.fieldNames()],
