@@ -170,7 +170,7 @@ RUNNING = """select *, sum(amount) over (partition by facility_id
 
 
 def latest_balance(fact):
-    return f"""select facility_sk, -facility_balance as net_funds_employed
+    return f"""select facility_sk, cast(-facility_balance as decimal(35,3)) as net_funds_employed
         from ({RUNNING.format(fact=fact)}) where facility_sk <> {NOFAC}
         qualify row_number() over (partition by facility_sk
             order by transaction_date desc nulls first) = 1"""

@@ -11,12 +11,8 @@ def heavy_keys(sizes, keys, rows="rows", share=SHARE):
     ``sizes`` has one row per key with its row count. At most ``1 / share`` keys can
     qualify, whatever the size of the data, so the result may be broadcast.
     """
-    total = sizes.agg(F.sum(rows).alias("_all_rows"))
-    return (
-        sizes.crossJoin(F.broadcast(total))
-        .filter(F.col(rows) > F.col("_all_rows") * share)
-        .select(*keys)
-    )
+    total = sizes.agg(F.sum(rows)).scalar()
+    return sizes.filter(F.col(rows) > total * share).select(*keys)
 
 
 def salted_lookup(facts, dimension, keys, row_id, sizes=None, how="left", pieces=64):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_blank, match_key
 from ..model import FROM_CRM, FROM_SERVICING, NO_FACILITY, REMITTANCE
+from ..operators.skew import salted_lookup
 from .facilities import facility_conflicts, parse_facilities
 from .marts import current_borrowers, current_members
 from .organizations import parse_crm
@@ -270,10 +271,15 @@ def collapsed_names(crm_raw, facility_raw):
         .withColumn("match_key", match_key(F.col("name")))
         .filter(F.col("match_key").isNotNull())
     )
-    several = spelled.groupBy("match_key").agg(
-        F.countDistinct("name").alias("distinct_source_names")
-    ).filter("distinct_source_names > 1")
-    return spelled.join(several, "match_key").orderBy("match_key", "source_system", "name")
+    groups = spelled.groupBy("match_key").agg(
+        F.countDistinct("name").alias("distinct_source_names"), F.count("*").alias("rows")
+    )
+    several = groups.filter("distinct_source_names > 1").drop("rows")
+    listed = salted_lookup(
+        spelled, several, ["match_key"], ["source_system", "name"],
+        groups.select("match_key", "rows"), how="inner",
+    )
+    return listed.orderBy("match_key", "source_system", "name")
 
 
 def layer_counts(ledger_raw, staged, fact, audit):
