@@ -3,7 +3,7 @@
 Every stage takes what its predecessor kept, as written by it.
 """
 
-from tallystone.llm import host_rules, lines, mixing, simhash
+from tallystone.llm import host_rules, lines, mixing, packing, simhash
 from tallystone.llm.common import materialize, table
 
 STAGES = [
@@ -11,6 +11,7 @@ STAGES = [
     ("line dedup", lambda spark, docs, sf_dir: lines.without_common_lines(docs)),
     ("near-duplicate documents", lambda spark, docs, sf_dir: simhash.one_of_each(docs)),
     ("mixing", lambda spark, docs, sf_dir: mixing.mixed_documents(docs)),
+    ("packing", lambda spark, docs, sf_dir: packing.packed_pieces(docs)),
 ]
 
 #: Fingerprints and token ids have no SQL form.

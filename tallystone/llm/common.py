@@ -71,6 +71,11 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[T.StructFi
     return made, names
 
 
+def few(df, rows=100_000):
+    """``df`` marked for broadcast if it has at most ``rows`` rows; a written, narrow table."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def crc_bucket(column, buckets):
     """crc32 of the value as text, modulo ``buckets``."""
     return F.crc32(column.cast("string")) % buckets

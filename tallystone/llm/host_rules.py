@@ -13,7 +13,7 @@ whole are measured separately; an empty table gives an empty result.
 import numpy as np
 from pyspark.sql import functions as F, types as T
 
-from .common import SPACE, map_texts, materialize, quoted
+from .common import SPACE, few, map_texts, materialize, quoted
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -118,11 +118,11 @@ def host_verdicts(rows, host, limit):
 def judged(rows, host, limit):
     """``rows`` with ``kept``. ``rows`` is read twice, so it should be a written table.
 
-    Rejected hosts are few and joined as a plain equi-join: Spark sends them to all tasks
-    only if they turn out small, and splits a hot host's partition otherwise.
+    Rejected hosts are sent to all tasks if they are few; otherwise both sides shuffle, and
+    Spark splits a hot host's partition.
     """
-    bad = host_verdicts(rows, host, limit).select(F.col("host").alias("bad_host"),
-                                                  F.lit(True).alias("host_rejected"))
+    bad = few(materialize(host_verdicts(rows, host, limit).select(
+        F.col("host").alias("bad_host"), F.lit(True).alias("host_rejected")), "bad-hosts"))
     return rows.join(bad, F.col(host).eqNullSafe(F.col("bad_host")), "left").withColumn(
         "kept", ~F.col("base_failed") & F.col("host_rejected").isNull()
     ).drop("bad_host", "host_rejected")

@@ -1,7 +1,7 @@
 """One query per operator, over its whole table, with production parameters."""
 
 from .common import table
-from . import host_rules, lines, mixing, simhash
+from . import host_rules, langid, lines, mixing, packing, simhash, warc
 
 
 def documents(spark, folder):
@@ -9,13 +9,17 @@ def documents(spark, folder):
 
 
 QUERIES = {
+    "op1_warc": lambda spark, d: warc.archived(table(spark, d, "pages")),
+    "op4_packing": lambda spark, d: packing.packed_pieces(documents(spark, d)),
     "op6_host_rules": lambda spark, d: host_rules.quality_verdicts(documents(spark, d)),
     "op7_simhash": lambda spark, d: simhash.near_duplicates(documents(spark, d)),
     "op8_line_dedup": lambda spark, d: lines.line_report(documents(spark, d)),
     "op9_mixing": lambda spark, d: mixing.mixed_sizes(documents(spark, d)),
+    "op10_language": lambda spark, d: langid.languages(documents(spark, d)),
 }
 
 ORACLES = {
+    "op1_warc": warc.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_mixing": mixing.ORACLE,
