@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F, types as T
 
-from .common import SPACE, as_bytes, materialize, quoted, unused
+from .common import SPACE, as_bytes, few, materialize, quoted, unused
 
 PROBES = 4
 SEGMENT = 1 << 17
@@ -142,9 +142,9 @@ def suspects(docs, id_col, text, min_chars):
 def dropped_keys(found, min_docs):
     """Per document with any: digests of the keys it loses; ``own_first`` where it is first."""
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
-    common = found.groupBy("key").agg(
+    common = few(materialize(found.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min(place).alias("first")
-    ).filter(F.col("n") >= min_docs).select("key", "first")
+    ).filter(F.col("n") >= min_docs).select("key", "first"), "common-lines"))
     lost = found.join(common, "key").select(
         "id", "digest", F.struct("key", (place == F.col("first")).alias("first")).alias("loss"))
     return lost.groupBy("id", "digest").agg(F.collect_set("loss").alias("losses"))
