@@ -1,7 +1,7 @@
 """One query per operator, over its whole table, with production parameters."""
 
 from .common import table
-from . import host_rules, langid, lines, mixing, packing, simhash, toxicity, warc
+from . import host_rules, langid, lines, mixing, ngrams, packing, simhash, toxicity, warc
 
 
 def documents(spark, folder):
@@ -10,6 +10,7 @@ def documents(spark, folder):
 
 QUERIES = {
     "op1_warc": lambda spark, d: warc.archived(table(spark, d, "pages")),
+    "op2_ngram_scores": lambda spark, d: ngrams.text_scores(documents(spark, d)),
     "op3_toxicity": lambda spark, d: toxicity.toxicity(
         documents(spark, d), table(spark, d, "labels")),
     "op4_packing": lambda spark, d: packing.packed_pieces(documents(spark, d)),

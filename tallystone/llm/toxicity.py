@@ -32,7 +32,7 @@ from .tokens import Places
 
 WINDOW, DECAY, CODES = 10, 0.8, 64
 #: Bounds of the training sample: labelled texts per class, and examples per class.
-SAMPLE, POSITIVES, NEGATIVES, LANDMARKS = 4000, 400, 6000, 240
+SAMPLE, POSITIVES, NEGATIVES, HARD, LANDMARKS = 4000, 400, 6000, 2000, 240
 #: Distinct stretches kept at once by a task.
 TABLE = 400_000
 SPELLED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
@@ -134,15 +134,14 @@ def fit(positive, negative, landmarks=LANDMARKS, ridge=1e-5, rounds=50):
 
 
 def logistic(values, labels, rounds=50):
-    """Slope and offset of the probability by value; both classes weigh the same."""
+    """Slope and offset of the probability by value."""
     x = np.column_stack([values, np.ones(len(values))])
-    weigh = np.where(labels > 0, 0.5 / max(1, (labels > 0).sum()),
-                     0.5 / max(1, (labels == 0).sum()))
+    weigh = 1 / len(values)
     w = np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weigh * (p - labels)) + 1e-4 * w * [1, 0]
-        bend = (x * (weigh * p * (1 - p))[:, None]).T @ x + np.diag([1e-4, 1e-9])
+        slope = x.T @ (weigh * (p - labels)) + 1e-5 * w * [1, 0]
+        bend = (x * (weigh * p * (1 - p))[:, None]).T @ x + np.diag([1e-5, 1e-9])
         step = np.linalg.solve(bend, slope)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -211,12 +210,13 @@ def labelled(docs, labels, id_col, text, label, folds, size):
 
 
 def examples(texts):
-    """Positive and negative example strings, counted over the sample."""
+    """Positive and negative example strings, and the table of all harmless stretches, by
+    counts over the sample."""
     totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
-        return [], []
+        return [], [], None
     counts = materialize(texts.select("label", F.explode("parts").alias("part")).groupBy("part").agg(
         F.count_if(F.col("label") == 1).alias("toxic"),
         F.count_if(F.col("label") == 0).alias("clean")), "toxic-parts")
@@ -235,13 +235,31 @@ def examples(texts):
     common = harmless.orderBy(F.col("clean").desc(), "part").limit(NEGATIVES // 4)
     mixed = harmless.orderBy(F.xxhash64("part"), "part").limit(NEGATIVES)
     return ([r["part"] for r in positive.collect()],
-            list(dict.fromkeys(r["part"] for r in [*common.collect(), *mixed.collect()])))
+            list(dict.fromkeys(r["part"] for r in [*common.collect(), *mixed.collect()])),
+            harmless.select("part"))
+
+
+def hardest(harmless, model):
+    """The harmless stretches that a machine values highest."""
+    shared = harmless.sparkSession.sparkContext.broadcast(model)
+
+    def value(batches):
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            parts = as_bytes(batch.column(0))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(scorer.score(parts), pa.float64())],
+                names=["part", "value"])
+
+    rows = harmless.mapInArrow(value, "part string, value double").orderBy(
+        F.col("value").desc(), "part").limit(HARD).collect()
+    return [r["part"] for r in rows]
 
 
 def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
     """Weights, offset and the logistic slope and offset; None without both classes."""
     texts = labelled(docs, labels, id_col, text, label, folds, size)
-    positive, negative = examples(texts)
+    positive, negative, harmless = examples(texts)
     if not positive or not negative:
         return None
     rng = np.random.default_rng(1)
@@ -250,7 +268,11 @@ def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
     for word in positive:
         at = int(rng.integers(1, max(2, len(word))))
         spoiled.append(word[:at] + ".-*_"[int(rng.integers(4))] + word[at:])
-    model = fit([*positive, *spoiled], negative)
+    toxic = [*positive, *spoiled]
+    model = fit(toxic, negative)
+    # once more, with the harmless stretches that come closest
+    hard = hardest(harmless, model)
+    model = fit(toxic, list(dict.fromkeys([*hard, *negative])))
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def value(batches):
