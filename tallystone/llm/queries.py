@@ -1,7 +1,7 @@
 """One query per operator, over its whole table, with production parameters."""
 
 from .common import table
-from . import host_rules, langid, lines, mixing, ngrams, packing, simhash, toxicity, warc
+from . import host_rules, langid, lines, mixing, ngrams, packing, simhash, toxicity, vectors, warc
 
 
 def documents(spark, folder):
@@ -14,6 +14,7 @@ QUERIES = {
     "op3_toxicity": lambda spark, d: toxicity.toxicity(
         documents(spark, d), table(spark, d, "labels")),
     "op4_packing": lambda spark, d: packing.packed_pieces(documents(spark, d)),
+    "op5_vectors": lambda spark, d: vectors.near_duplicates(table(spark, d, "embeddings")),
     "op6_host_rules": lambda spark, d: host_rules.quality_verdicts(documents(spark, d)),
     "op7_simhash": lambda spark, d: simhash.near_duplicates(documents(spark, d)),
     "op8_line_dedup": lambda spark, d: lines.line_report(documents(spark, d)),
@@ -23,6 +24,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_warc": warc.ORACLE,
+    "op5_vectors": lambda spark, d: vectors.near_duplicates(table(spark, d, "embeddings")),
     "op6_host_rules": host_rules.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_mixing": mixing.ORACLE,
