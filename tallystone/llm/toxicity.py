@@ -93,12 +93,18 @@ def weighted_sums(seen, weights):
 
 
 def subsequences(seen):
-    """The normalized subsequence weights of one window, by subsequence number."""
+    """Numbers and normalized weights of the subsequences of one window."""
+    inside = [(seen[i] << 12 | seen[j] << 6 | seen[k], w) for i, j, k, w in TRIPLES if seen[k]]
+    numbers, at = np.unique(np.array([n for n, _ in inside], np.int64), return_inverse=True)
+    weights = np.bincount(at, [w for _, w in inside], len(numbers))
+    return numbers, (weights / NORMS[(seen > 0).sum()]).astype(np.float32)
+
+
+def spread(numbers, weights):
+    """The same as a vector over all subsequence numbers."""
     vector = np.zeros(CODES ** 3, np.float32)
-    for i, j, k, w in TRIPLES:
-        if seen[k]:
-            vector[seen[i] << 12 | seen[j] << 6 | seen[k]] += w
-    return vector / NORMS[(seen > 0).sum()]
+    vector[numbers] = weights
+    return vector
 
 
 def fit(positive, negative, landmarks=LANDMARKS, ridge=1e-5, rounds=50):
@@ -111,14 +117,15 @@ def fit(positive, negative, landmarks=LANDMARKS, ridge=1e-5, rounds=50):
     for x in seen:
         first = np.sort(np.unique(x, axis=0, return_index=True)[1])
         chosen.append(x[first[:landmarks // 2]])
-    vectors = np.stack([subsequences(z) for x in chosen for z in x])
-    spectrum, basis = np.linalg.eigh(vectors.astype(np.float64) @ vectors.T)
+    chosen = np.concatenate(chosen)
+    marks = [subsequences(z) for z in chosen]
+    both = np.concatenate([chosen, *seen])
+    kernel = np.stack([weighted_sums(both, spread(*m)) for m in marks], axis=1)
+    spectrum, basis = np.linalg.eigh(kernel[:len(chosen)].astype(np.float64))
     sound = spectrum > 1e-6 * spectrum[-1]
     root = basis[:, sound] / np.sqrt(spectrum[sound])  # inverse square root of the kernel matrix
-    both = np.concatenate(seen)
     y = np.concatenate([np.ones(len(seen[0])), -np.ones(len(seen[1]))])
-    kernel = np.stack([weighted_sums(both, v) for v in vectors], axis=1)
-    features = np.column_stack([kernel @ root, np.ones(len(y))])
+    features = np.column_stack([kernel[len(chosen):] @ root, np.ones(len(y))])
     cost = np.where(y > 0, 0.5 / len(seen[0]), 0.5 / len(seen[1]))
     bound = np.diag([ridge] * (features.shape[1] - 1) + [1e-8])
     w = np.zeros(features.shape[1])
@@ -130,7 +137,10 @@ def fit(positive, negative, landmarks=LANDMARKS, ridge=1e-5, rounds=50):
             break
         w = following
     beta = root @ w[:-1]
-    return (beta @ vectors).astype(np.float32), float(w[-1])
+    weights = np.zeros(CODES ** 3, np.float32)
+    for b, (numbers, values) in zip(beta, marks):
+        weights[numbers] += np.float32(b) * values
+    return weights, float(w[-1])
 
 
 def logistic(values, labels, rounds=50):
