@@ -28,7 +28,7 @@ from pyspark.sql import functions as F, types as T
 from .common import as_bytes, crc_bucket, materialize, quoted
 from .tokens import Places
 
-BLOCK = 1_000_000
+BLOCK = 600_000
 KEYS_PER_TASK = 1_000_000
 ORDER, WEIGHT, DISCOUNT = 2, 100.0, 0.75
 
