@@ -82,12 +82,13 @@ def compressed(data, level):
 class Archive:
     """The files one task writes."""
 
-    def __init__(self, folder, task):
+    def __init__(self, folder, task, file_bytes):
         self.system, self.path = file_system(folder)
-        self.task, self.count, self.stream = task, 0, None
+        self.task, self.file_bytes = task, file_bytes
+        self.count, self.stream = 0, None
 
     def add(self, data):
-        if self.stream is None or self.stream.tell() >= FILE_BYTES:
+        if self.stream is None or self.stream.tell() >= self.file_bytes:
             self.close()
             self.name = f"{self.task:06d}-{self.count:04d}-{uuid.uuid4().hex}.warc.gz"
             self.count += 1
@@ -118,7 +119,8 @@ def planned(pages, id_col, url, payload, min_bytes):
 
 
 def write_archives(pages, folder, id_col="page_id", url="url", payload="html",
-                   min_bytes=MIN_BYTES, level=6, date="2026-01-01T00:00:00Z"):
+                   min_bytes=MIN_BYTES, file_bytes=FILE_BYTES, level=6,
+                   date="2026-01-01T00:00:00Z"):
     """Write all ``pages`` into ``folder``; the index of the records, as a written table."""
     rows = planned(pages, id_col, url, payload, min_bytes)
     schema = T.StructType([
@@ -131,7 +133,7 @@ def write_archives(pages, folder, id_col="page_id", url="url", payload="html",
     def write(batches):
         from pyspark import TaskContext
 
-        archive = Archive(folder, TaskContext.get().partitionId())
+        archive = Archive(folder, TaskContext.get().partitionId(), file_bytes)
         for batch in batches:
             places = []
             columns = [batch.column("id").to_pylist(), as_bytes(batch.column("url")),
