@@ -1,6 +1,7 @@
 """Helpers that the operators share."""
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import shared_dir
@@ -22,6 +23,24 @@ def materialize(df, label):
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+def identified(docs, name):
+    """``docs`` with a column naming each row by file and place, the same in every scan.
+
+    So rows can be decided on without their texts, and picked by a later scan. A table that
+    is not a plain scan of files is written first.
+    """
+    def by_place(df):
+        place = df.metadataColumn("_metadata")
+        return df.withColumn(name, F.struct(place["file_path"], place["row_index"]))
+
+    try:
+        named = by_place(docs)
+        plain = named.groupBy(name).count().filter("count > 1").isEmpty()
+    except AnalysisException:
+        plain = False
+    return named if plain else by_place(materialize(docs, "rows"))
+
+
 def quoted(name):
     return F.col(f"`{name.replace('`', '``')}`")
 

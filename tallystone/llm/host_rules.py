@@ -99,7 +99,7 @@ def beta_prior(hosts, rule):
 
 
 def host_verdicts(rows, host, limit):
-    """Rejected hosts: (host, rule rates). ``rows`` has the measures."""
+    """Rejected hosts with their rates. ``rows`` has the measures."""
     hosts = host_rates(rows, host)
     row = hosts.agg(*[c for rule in RULES for c in beta_prior(hosts, rule)]).first()
     rates = []
@@ -115,13 +115,13 @@ def host_verdicts(rows, host, limit):
     return shrunk.filter(worst > limit)
 
 
-def judged(rows, host, limit):
-    """``rows`` with ``kept``. ``rows`` is read twice, so it should be a written table.
+def judged(rows, measures, host, limit):
+    """``rows`` with ``kept``; ``measures`` is a written table of all measures by ``host``.
 
     Rejected hosts are sent to all tasks if they are few; otherwise both sides shuffle, and
     Spark splits a hot host's partition.
     """
-    bad = few(materialize(host_verdicts(rows, host, limit).select(
+    bad = few(materialize(host_verdicts(measures, "c0", limit).select(
         F.col("host").alias("bad_host"), F.lit(True).alias("host_rejected")), "bad-hosts"))
     return rows.join(bad, F.col(host).eqNullSafe(F.col("bad_host")), "left").withColumn(
         "kept", ~F.col("base_failed") & F.col("host_rejected").isNull()
@@ -130,15 +130,20 @@ def judged(rows, host, limit):
 
 def quality_verdicts(docs, id_col="doc_id", text="text", host="source", limit=0.6):
     """doc_id, the measures, base_failed and kept of every document."""
-    rows = materialize(measured(docs, [id_col, host], text), "host-measures")
-    return judged(rows, "c1", limit).select(
-        F.col("c0").alias("doc_id"), *MEASURES, "base_failed", "kept")
+    rows = materialize(measured(docs, [host, id_col], text), "host-measures")
+    return judged(rows, rows, "c0", limit).select(
+        F.col("c1").alias("doc_id"), *MEASURES, "base_failed", "kept")
 
 
 def quality_documents(docs, text="text", host="source", limit=0.6):
-    """The rows of ``docs`` that are kept, with their own columns."""
-    rows = materialize(measured(docs, docs.columns, text), "host-measures")
-    kept = judged(rows, f"c{docs.columns.index(host)}", limit).filter("kept")
+    """The rows of ``docs`` that are kept, with their own columns.
+
+    Texts are measured once for the hosts and once more on their way through, as that is
+    cheaper than to write or shuffle them.
+    """
+    measures = materialize(measured(docs, [host], text), "host-measures")
+    rows = measured(docs, docs.columns, text)
+    kept = judged(rows, measures, f"c{docs.columns.index(host)}", limit).filter("kept")
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 

@@ -18,7 +18,7 @@ import math
 
 from pyspark.sql import Window, functions as F
 
-from .common import WORD, materialize, quoted, unused
+from .common import WORD, identified, materialize, quoted, unused
 
 CYCLE = (1, 2, 3)
 
@@ -81,8 +81,7 @@ def queued(docs, carried=(), id_col="doc_id", text="text", source="source", repe
         .alias("size"),
     ).withColumn("band", F.floor(
         F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * bands / F.lit(2 ** 32)))
-    if not carried:
-        sized = materialize(sized, "mix-sizes")
+    sized = materialize(sized, "mix-sizes")
     goals = materialize(
         targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), repeats,
                 weights), "mix-targets")
@@ -129,10 +128,12 @@ def mixed_sizes(docs, id_col="doc_id", text="text", source="source", **options):
 
 def mixed_documents(docs, id_col="doc_id", text="text", source="source", **options):
     """The rows of ``docs``, each as often as the mix takes it."""
-    whole = queued(docs, tuple(docs.columns), id_col, text, source, **options)
-    copy = unused(docs, "copy")
-    again = whole.select("doc", F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias(copy))
-    return again.select("doc.*")
+    row, copies, copy = (unused(docs, n) for n in ("row", "copies", "copy"))
+    named = identified(docs, row)
+    taken = queued(named, (row,), id_col, text, source, **options).filter("copies > 0").select(
+        F.col("doc")[row].alias(row), F.col("copies").alias(copies))
+    again = F.explode(F.array_repeat(F.lit(1), F.col(copies)))
+    return named.join(taken, row).withColumn(copy, again).drop(row, copies, copy)
 
 
 ORACLE = r"""

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F, types as T
 
-from .common import map_texts, materialize, quoted, unused
+from .common import identified, map_texts, materialize, unused
 from .components import connected
 
 SEED = 42
@@ -239,12 +239,10 @@ def one_of_each(docs, id_col="doc_id", text="text", budget=3):
     Of rows with the same id in a group the first read stays.
     """
     row = unused(docs, "row")
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
-    marked = materialize(fingerprints(rows, rows.columns, text), "simhash-rows")
-    at = docs.columns.index(id_col)
-    key = F.struct(F.col(f"c{at}").isNull().alias("no_id"), F.col(f"c{at}").alias("id"),
-                   F.col(f"c{len(docs.columns)}").alias("row"))
-    narrow = marked.select("fp", key.alias("key"))
-    stays = grouped(narrow, "key", budget).filter("key.row = component.row").select("key.row")
-    kept = marked.withColumnRenamed(f"c{len(docs.columns)}", "row").join(stays, "row")
-    return kept.select(*[quoted(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    named = identified(docs, row)
+    marked = materialize(fingerprints(named, [id_col, row], text), "simhash-rows")
+    key = F.struct(F.col("c0").isNull().alias("no_id"), F.col("c0").alias("id"),
+                   F.col("c1").alias("row"))
+    stays = grouped(marked.select("fp", key.alias("key")), "key", budget).filter(
+        "key.row = component.row").select(F.col("key.row").alias(row))
+    return named.join(stays, row).drop(row)
