@@ -33,8 +33,8 @@ from .tokens import Places
 WINDOW, DECAY, CODES = 10, 0.8, 64
 #: Bounds of the training sample: labelled texts per class, and examples per class.
 SAMPLE, POSITIVES, NEGATIVES, HARD, LANDMARKS = 4000, 400, 6000, 2000, 240
-#: Distinct stretches kept at once by a task.
-TABLE = 400_000
+#: Distinct stretches kept at once by a task, and stretches handled in one go.
+TABLE, PORTION = 400_000, 200_000
 SPELLED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
 
 TRIPLES = [(i, j, k, DECAY ** (k - i + 1)) for i, j, k in combinations(range(WINDOW), 3)]
@@ -178,20 +178,26 @@ class Scorer:
         self.values = np.concatenate([self.values, *made])
 
     def score(self, texts):
-        found = []
+        """Values of texts. Stretches that are new are worked out together, a portion of
+        texts at a time."""
+        found, waiting, count = [], [], 0
         for text in texts:
-            if len(self.places) > TABLE:
-                self.learn()
-                self.forget()
             parts = stretches(text)
-            at = np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts))
-            if len(self.places.new) > 50_000:
-                self.learn()
-            elif len(at) and at.max() >= len(self.values):
-                self.learn()
-            found.append(float(self.values[at].max()) if len(at) else -1.0)
+            waiting.append(np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts)))
+            count += len(parts)
+            if count > PORTION:
+                found += self.finish(waiting)
+                waiting, count = [], 0
+        found += self.finish(waiting)
         return np.array(found) + self.offset
 
+    def finish(self, waiting):
+        self.learn()
+        found = [float(self.values[at].max()) if len(at) else -1.0 for at in waiting]
+        if len(self.places) > TABLE:
+            self.forget()
+        return found
+
 
 def labelled(docs, labels, id_col, text, label, folds, size):
     """A bounded sample per class of texts outside the held-out fold, near copies once."""

@@ -78,6 +78,7 @@ def test_stretches_come_out_the_same_with_a_small_table(monkeypatch, talk):
     texts = [r["text"].encode() for r in docs.limit(80).collect()] + [b"x" * 5000]
     whole = toxicity.Scorer(model).score(texts)
     monkeypatch.setattr(toxicity, "TABLE", 20)
+    monkeypatch.setattr(toxicity, "PORTION", 90)
     assert toxicity.Scorer(model).score(texts) == pytest.approx(whole)
 
 
