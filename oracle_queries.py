@@ -217,7 +217,7 @@ CTES = {
         from dim d left join borrower b on b.organization_sk = d.organization_sk
          and b.organization_id <> 'NULL ORGANIZATION'""",
     "labelled": """select d.*, b.source_system, case when b.organization_sk is null
-        then 'Unmapped borrower' when b.source_system = 'SERVICING' then 'NOT IN CRM'
+        or b.source_system = 'SYNTHETIC' then 'Unmapped borrower' when b.source_system = 'SERVICING' then 'NOT IN CRM'
         when b.industry is null then 'INDUSTRY NOT SET' else b.industry end as industry
         from dim d left join borrower b on b.organization_sk = d.organization_sk""",
 }
@@ -398,8 +398,8 @@ def quality_log():
 
 
 def investor_summary():
-    cell = """cast(count(*) as bigint) as facility_count,
-        count(distinct organization_sk) as borrower_count,
+    cell = f"""cast(count(*) as bigint) as facility_count,
+        count(distinct nullif(organization_sk, {NOORG})) as borrower_count,
         sum(net_funds_employed) as outstanding_balance"""
     position = f"case when {OPEN} then 'OPEN' else 'NOT OPEN' end"
     return f"""select *, {pct('outstanding_balance', '(select sum(net_funds_employed) from dim)')}
@@ -410,7 +410,7 @@ def investor_summary():
         union all select 4, 'CONCENTRATION', 'TOP 5 BORROWERS BY OPEN EXPOSURE',
             cast(sum(n) as bigint), count(*), sum(t) from (
             select organization_sk, count(*) as n, sum(net_funds_employed) as t from dim
-            where {OPEN} group by organization_sk
+            where {OPEN} and organization_sk <> {NOORG} group by organization_sk
             order by t desc nulls last, organization_sk limit 5))"""
 
 
@@ -428,13 +428,34 @@ def portfolio_summary():
                    order by o desc, organization_id nulls first limit 5))"""
 
 
+def integrity():
+    """Every check's count, from the relations themselves."""
+    def repeated(relation, key):
+        return (f"(select count(*) from (select {key} from {relation} group by 1 "
+                f"having count(*) > 1))")
+
+    counts = {
+        "orphan_facilities_marts": "(select count(*) from dim where organization_sk not in "
+                                   "(select organization_sk from borrower))",
+        "orphan_facilities_staging": f"(select count(*) from stated where organization_sk <> {NOORG} "
+                                     "and organization_sk not in (select organization_sk from org))",
+        "duplicate_org_sk_marts": repeated("borrower", "organization_sk"),
+        "duplicate_org_sk_staging": repeated("org", "organization_sk"),
+        "duplicate_facility_sk_marts": repeated("dim", "facility_sk"),
+        "duplicate_transaction_id": repeated("fact", "transaction_id"),
+    }
+    lines = " union all ".join(f"select '{name}' as check_name, {sql} as found"
+                               for name, sql in counts.items())
+    return f"select *, case when found = 0 then 'PASS' else 'FAIL' end as result from ({lines})"
+
+
 def reconciliations():
     def line(name, left, right, test):
         return (f"select '{name}' as check_name, cast({left} as decimal(38,3)) as left_value, "
                 f"cast({right} as decimal(38,3)) as right_value, "
                 f"case when {left} {test} {right} then 'PASS' else 'FAIL' end as result")
 
-    year = f"transaction_type = 'Remittance' and {IN_YEAR} and fund_description is not null"
+    year = f"transaction_type = 'Remittance' and {IN_YEAR}"
     book = "(select sum(net_funds_employed) from dim)"
     return " union all ".join([
         line("headline_vs_industry", book, "(select sum(net_funds_employed) from labelled)", "="),
@@ -447,8 +468,8 @@ def reconciliations():
         line("orphans_on_real_facilities",
              f"(select count(*) from fact where not known_facility_ind and facility_sk <> {NOFAC})",
              "0", "="),
-        line("grid_vs_ungridded", f"(select coalesce(sum(amount), 0) from fact where {year} and "
-             "fund_description in (select fund_description from dim))",
+        line("grid_vs_ungridded", f"(select coalesce(sum(total), 0) from (select fund_description, sum(amount) as total "
+             f"from fact where {year} group by 1))",
              f"(select coalesce(sum(amount), 0) from fact where {year})", "="),
     ])
 
@@ -553,6 +574,19 @@ def oracle():
             d.net_funds_employed from dim d join stated s using (facility_id)""",
         "nfe_movement": f"select * from ({guard_move}) where nfe_before is distinct from nfe_after",
         "stream_incremental": """select facility_id, net_funds_employed from dim_after""",
+        "stream_fact": f"select {', '.join(FACT)}, change_tracking_key from fact_after",
+        "stream_run_summary": f"""select 1 as run, (select count(*) from raw_led) as batch,
+            (select count(*) from ({AUDITED_TXN})) as audited, (select count(*) from fact) as staged,
+            (select count(*) from fact) as changed union all
+            select 2, (select count(*) from raw_delta), (select count(*) from ({flagged('delta')})
+                where duplicate_ind or conflict_ind or parse_fail_ind),
+            (select count(*) from fact_delta),
+            (select count(*) from fact_after where outcome in ('INSERT', 'UPDATE'))""",
+        "intake_to_fact": f"""select 'API-' || md5(request_id) as transaction_id,
+            known_id as facility_id, d as transaction_date, cast(a as decimal(35,3)) as amount,
+            case upper(share_class) when 'CLASS A' then 'Class A' when 'CLASS B' then 'Class B' end
+            as share_class, known_fund as fund_description, true as known_facility_ind
+            from ({REQUESTS}) where rejection_code is null""",
         "layer_counts": f"""select 'raw' as layer, count(*) as n from raw_led
             union all select 'staged', count(*) from staged union all select 'fact', count(*) from fact
             union all select 'fact_distinct_ids', count(distinct transaction_id) from fact
@@ -560,13 +594,18 @@ def oracle():
         "row_conservation": f"""select count(*) as raw_rows,
             count(*) filter (where parse_fail_fields <> '') as quarantined,
             count(*) filter (where parse_fail_fields = '') as staged_copies,
-            'PASS' as result from led""",
-        "ri_check": """select unnest(['orphan_facilities_marts', 'orphan_facilities_staging',
-            'duplicate_org_sk_marts', 'duplicate_org_sk_staging', 'duplicate_facility_sk_marts',
-            'duplicate_transaction_id']) as check_name, cast(0 as bigint) as found,
-            'PASS' as result""",
-        "join_fan_out": """select count(*) + 1 as facility_rows, count(*) + 1 as joined_rows,
-            count(*) + 1 as matched_rows, 'PASS' as result from dim""",
+            case when count(*) = count(*) filter (where parse_fail_fields <> '')
+                + (select count(*) from led where parse_fail_fields = ''
+                   and transaction_id in (select transaction_id from staged))
+                then 'PASS' else 'FAIL' end as result from led""",
+        "ri_check": integrity(),
+        "join_fan_out": """select facility_rows + 1 as facility_rows, joined_rows + 1 as joined_rows,
+            matched_rows + 1 as matched_rows,
+            case when joined_rows = matched_rows then 'PASS' else 'FAIL' end as result from (
+            select (select count(*) from dim) as facility_rows,
+            (select count(*) from dim join borrower using (organization_sk)) as joined_rows,
+            (select count(*) from dim where organization_sk in
+                (select organization_sk from borrower)) as matched_rows)""",
         "provenance_counts": """select source_system, count(*) as organizations from org
             group by 1""",
         "collapsed_names": f"""select source_system, name, match_key, distinct_source_names from (
@@ -599,7 +638,8 @@ def oracle():
                  f'(select sum(net_funds_employed) from dim where {OPEN})')} as pct_of_open_book,
             {pct('sum(net_funds_employed)', '(select sum(net_funds_employed) from dim)')}
             as pct_of_portfolio
-            from dim join borrower using (organization_sk) where {OPEN} group by 1, 2
+            from dim join borrower using (organization_sk)
+            where {OPEN} and source_system <> 'SYNTHETIC' group by 1, 2
             order by exposure desc nulls last, organization_id limit 5""",
         "excluded_exposure": f"""select coalesce(status, 'UNKNOWN') as status,
             count(*) as facilities, sum(net_funds_employed) as excluded_exposure from dim
@@ -610,12 +650,12 @@ def oracle():
             count(amount) as remittances, coalesce(sum(amount), 0) as remittance_total
             from (select cast(unnest(generate_series(date '{YEAR}-01-01', date '{YEAR}-12-01',
                   interval 1 month)) as date) as month_start)
-            cross join (select distinct fund_description from dim
-                        where fund_description is not null)
-            left join (select date_trunc('month', transaction_date) as month_start,
-                       fund_description, amount from fact
+            cross join (select fund_description from dim union select fund_description from fact
+                        where transaction_type = 'Remittance' and {IN_YEAR}) funds
+            left join (select date_trunc('month', transaction_date) as m,
+                       fund_description as f, amount from fact
                        where transaction_type = 'Remittance' and {IN_YEAR})
-                 using (month_start, fund_description)
+                 on m = month_start and f is not distinct from fund_description
             group by 1, 2""",
         "year_totals": f"""select fund_description, count(*) as remittances,
             sum(amount) as remittance_total from fact
@@ -628,23 +668,27 @@ def oracle():
             (select distinct facility_id, upper(trim(client_name)) as c from raw_fac)
             left join (select distinct upper(trim(org_name)) as n from raw_crm) on n = c""",
         "exposure_by_industry": f"""select industry,
-            count(distinct case when source_system is not null then organization_sk end)
+            count(distinct case when source_system <> 'SYNTHETIC' then organization_sk end)
             as borrowers, count(*) as facilities, sum(net_funds_employed) as exposure,
             sum(case when {OPEN} then net_funds_employed else 0 end) as open_exposure,
             {pct('sum(net_funds_employed)', '(select sum(net_funds_employed) from dim)')}
             as pct_of_portfolio from labelled group by 1""",
         "unmapped_borrowers": """select organization_name, source_system, count(*) as facilities,
-            sum(net_funds_employed) as exposure from dim join org using (organization_sk)
+            sum(net_funds_employed) as exposure from dim left join org using (organization_sk)
             where source_system = 'SERVICING' or industry is null group by 1, 2""",
         "recon_checks": reconciliations(),
         "outside_year_latest": f"""select transaction_id, transaction_date, facility_id, amount
             from fact where transaction_type = 'Remittance' and not {IN_YEAR}
             order by transaction_date desc, transaction_id limit 10""",
         "investor_summary": investor_summary(),
-        "privacy_check": f"""select (select sum(net_funds_employed) from dim) as summary_total,
-            (select min(facility_count) from ({investor_summary()})
-             where metric_group in ('FUND', 'POSITION STATUS')) as smallest_cell_facilities,
-            (select sum(net_funds_employed) from dim) as mart_total, 'PASS' as result""",
+        "privacy_check": f"""select *, case when summary_total = mart_total
+            and smallest_cell_facilities > 1 then 'PASS' else 'FAIL' end as result from (
+            select max(outstanding_balance) filter (where metric_group = 'PORTFOLIO')
+                as summary_total,
+            min(facility_count) filter (where metric_group in ('FUND', 'POSITION STATUS'))
+                as smallest_cell_facilities,
+            (select sum(net_funds_employed) from dim) as mart_total
+            from ({investor_summary()}))""",
         "open_share": f"""select sum(case when {OPEN} then net_funds_employed end) as open_book,
             sum(net_funds_employed) as portfolio, {pct(
                 f'sum(case when {OPEN} then net_funds_employed end)', 'sum(net_funds_employed)')}
@@ -677,7 +721,8 @@ def oracle():
             case upper(share_class) when 'CLASS A' then 'Class A' when 'CLASS B' then 'Class B' end
             as share_class, known_id as investment_ref, 'Remittance' as transaction_type,
             cast(a as varchar) as amount, 'api://remittances' as file_name,
-            cast(1 as bigint) as file_row_number, {RUN} as file_last_modified
+            cast('0x' || substr(md5(request_id), 1, 15) as bigint) as file_row_number,
+            {RUN} as file_last_modified
             from ({REQUESTS}) where rejection_code is null""",
         "closed_receipts": """select facility_id, count(*) as remittances,
             sum(amount) as remittance_total from fact where transaction_type = 'Remittance'

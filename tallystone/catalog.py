@@ -5,6 +5,7 @@ Every entry takes a session and the folder of the test tables.
 
 from functools import cached_property
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import demo
@@ -312,6 +313,42 @@ def stream_incremental(b):
     return current_members(job.marts().facility).select("facility_id", "net_funds_employed")
 
 
+def streamed(b):
+    """The pipeline's state after two deliveries, the first in several files."""
+    root = shared_dir(b.spark, "ledger-state")
+    job = LedgerPipeline(b.spark, f"{root}/tables", demo.ALIASES, buckets=16)
+    job.load_dimensions("dims-1", b.crm, b.fac, demo.RUN_TS)
+    for delivery in (b.led.repartition(5), b.delta):
+        write_export(delivery, LEDGER_FIELDS, f"{root}/landing")
+        job.run(f"{root}/landing", f"{root}/checkpoint", SECOND_RUN, "*.csv")
+    return job
+
+
+def stream_fact(b):
+    """The streamed fact, less the times of its runs."""
+    return streamed(b).fact().drop("record_inserted_ts", "record_updated_ts")
+
+
+def stream_run_summary(b):
+    """What each run took in and wrote, by order of the runs."""
+    metrics = streamed(b).tables.read("metrics")
+    run = F.dense_rank().over(Window.partitionBy("metric").orderBy("seq"))
+    return metrics.withColumn("run", run).groupBy("run").pivot(
+        "metric", ["batch", "audited", "staged", "fact"]).agg(F.first("n")).withColumnRenamed(
+        "fact", "changed")
+
+
+def intake_to_fact(b):
+    """Accepted requests in the fact, after every request was submitted twice."""
+    root = shared_dir(b.spark, "intake")
+    job = LedgerPipeline(b.spark, f"{root}/tables", demo.ALIASES, buckets=16)
+    job.load_dimensions("dims-1", b.crm, b.fac, demo.RUN_TS)
+    for turn in (1, 2):
+        job.submit(f"requests-{turn}", b.requests, TODAY, SECOND_RUN)
+    return job.fact().select("transaction_id", "facility_id", "transaction_date", "amount",
+                             "share_class", "fund_description", "known_facility_ind")
+
+
 def full_rebuild(b):
     """All marts rebuilt from the raw exports and written; rows per table."""
     tables = publish_marts(b)
@@ -385,6 +422,9 @@ QUERIES = {
     "balance_correction": balance_correction,
     "nfe_movement": nfe_movement,
     "stream_incremental": stream_incremental,
+    "stream_fact": stream_fact,
+    "stream_run_summary": stream_run_summary,
+    "intake_to_fact": intake_to_fact,
     # checks
     "layer_counts": layer_counts,
     "row_conservation": row_conservation,

@@ -237,15 +237,16 @@ def delta_sql(d, lineitem="lineitem"):
     return _select(columns, f"({ledger_sql(d, lineitem)}) first_delivery")
 
 
-def request_sql(d, events="events"):
-    """Remittance requests: valid ones and every reason to refuse one."""
+def request_sql(d, events="events", orders="orders"):
+    """Remittance requests over the whole loan book: valid ones and every reason to refuse one."""
     k = "event_id"
+    loan = _padded(f"{k} % (select max(o_orderkey) + 1 from {orders})")
     day = d.years_on("ts", 0)
     columns = {
         "request_id": f"'RQ-' || {_padded(k)}",
         "facility_id": f"""case when {k} % 19 = 0 then 'LZ-' || cast({k} as string)
-            when {k} % 4 = 0 then 'ln-' || {_padded(f'{k} % 1500')}
-            when {k} % 2003 = 1 then null else 'LN-' || {_padded(f'{k} % 1500')} end""",
+            when {k} % 4 = 0 then 'ln-' || {loan}
+            when {k} % 2003 = 1 then null else 'LN-' || {loan} end""",
         "amount": f"""case when {k} % 23 = 0 then 'abc' when {k} % 29 = 0 then '0'
             when {k} % 31 = 0 then '-1' when {k} % 2003 = 2 then null
             else cast(cast(value as decimal(18,2)) as string) end""",
@@ -257,21 +258,9 @@ def request_sql(d, events="events"):
     return _select(columns, events)
 
 
-def _read(spark, path):
-    """A test table. A small one is dealt out to all cores, as it may be a single block.
-
-    Anything larger than the limit has blocks of its own for every core and is not moved.
-    """
-    table = spark.read.parquet(path)
-    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if 1 << 20 < size < 1 << 30:
-        return table.repartition(spark.sparkContext.defaultParallelism)
-    return table
-
-
 def _run(spark, sf_dir, build, tables):
     """The dirty view as a DataFrame over the parquet tables."""
-    read = {t: _read(spark, f"{sf_dir}/{t}.parquet") for t in tables}
+    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
     text = build(SparkText(), **{t: f"@{t}@" for t in tables})
     for table in tables:
         text = text.replace(f"@{table}@", "{" + table + "}")
@@ -295,4 +284,4 @@ def ledger_delta(spark, sf_dir):
 
 
 def requests(spark, sf_dir):
-    return _run(spark, sf_dir, request_sql, ["events"])
+    return _run(spark, sf_dir, request_sql, ["events", "orders"])

@@ -2,44 +2,44 @@
 
 from pyspark.sql import functions as F
 
-SHARE = 1 / 1000
+#: A key with more rows than one task should take, and the rows of one piece of it.
+HEAVY, PIECE = 1_000_000, 250_000
 
 
-def heavy_keys(sizes, keys, rows="rows", share=SHARE):
-    """Keys that hold more than ``share`` of all rows.
+def heavy_keys(sizes, keys, rows="rows", heavy=HEAVY, piece=PIECE):
+    """Keys with more than ``heavy`` rows, and into how many pieces each is cut.
 
-    ``sizes`` has one row per key with its row count. At most ``1 / share`` keys can
-    qualify, whatever the size of the data, so the result may be broadcast.
+    ``sizes`` has one row per key with its row count. There is at most one such key per
+    ``heavy`` rows of the data, so the result is some millionth of it and may be broadcast.
     """
-    total = sizes.agg(F.sum(rows)).scalar()
-    return sizes.filter(F.col(rows) > total * share).select(*keys)
+    cut = F.ceil(F.col(rows) / piece).cast("int").alias("_pieces")
+    return sizes.filter(F.col(rows) > heavy).select(*keys, cut)
 
 
-def salted_lookup(facts, dimension, keys, row_id, sizes=None, how="left", pieces=64):
+def salted_lookup(facts, dimension, keys, row_id, sizes=None, how="left", heavy=HEAVY,
+                  piece=PIECE):
     """Join facts to a dimension on ``keys``, spreading heavy keys over many tasks.
 
-    Rows of a heavy key are dealt into ``pieces`` by the hash of ``row_id`` and the
-    matching dimension rows are repeated once per piece; every other key joins as usual.
-    NULL keys match nothing but are dealt out all the same. ``sizes`` (one row per key,
-    count in ``rows``) may be passed when the caller has it already.
+    Rows of a heavy key are dealt into pieces by the hash of ``row_id``, as many as the key's
+    own size asks for, and the matching dimension rows are repeated once per piece; every
+    other key joins as usual. NULL keys match nothing but are dealt out all the same.
+    ``sizes`` (one row per key, count in ``rows``) may be passed when the caller has it already.
     """
     if sizes is None:
         sizes = facts.groupBy(*keys).agg(F.count("*").alias("rows"))
-    heavy = heavy_keys(sizes, keys).select(
-        *[F.col(k).alias(f"_heavy_{k}") for k in keys], F.lit(True).alias("_is_heavy")
+    cut = heavy_keys(sizes, keys, "rows", heavy, piece).select(
+        *[F.col(k).alias(f"_heavy_{k}") for k in keys], "_pieces"
     )
 
     def marked(df):
         match = [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys]
-        found = df.join(F.broadcast(heavy), match, "left")
+        found = df.join(F.broadcast(cut), match, "left")
         return found.drop(*[f"_heavy_{k}" for k in keys])
 
-    piece = F.pmod(F.xxhash64(*row_id), F.lit(pieces)).cast("int")
-    dealt = marked(facts).withColumn(
-        "_piece", F.when(F.col("_is_heavy"), piece).otherwise(F.lit(0))
-    ).drop("_is_heavy")
-    copies = F.when(F.col("_is_heavy"), F.sequence(F.lit(0), F.lit(pieces - 1)))
+    own = F.pmod(F.xxhash64(*row_id), F.col("_pieces")).cast("int")
+    dealt = marked(facts).withColumn("_piece", F.coalesce(own, F.lit(0))).drop("_pieces")
+    copies = F.sequence(F.lit(0), F.col("_pieces") - 1)
     repeated = marked(dimension).withColumn(
         "_piece", F.explode(F.coalesce(copies, F.array(F.lit(0))))
-    ).drop("_is_heavy")
+    ).drop("_pieces")
     return dealt.join(repeated, [*keys, "_piece"], how).drop("_piece")

@@ -9,7 +9,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import currency
-from ..model import FROM_SERVICING, OPEN_STATUSES, REMITTANCE
+from ..model import (
+    FROM_NOWHERE, FROM_SERVICING, NO_ORGANIZATION, OPEN_STATUSES, REMITTANCE,
+)
 from .marts import current_borrowers, current_members
 
 NO_CRM = "NOT IN CRM"
@@ -111,7 +113,7 @@ def top_borrowers(marts, k=5):
         "organization_sk", "organization_id", "organization_name"
     )
     ranked = (
-        borrower_exposure(known.filter(is_open()))
+        borrower_exposure(known.filter(is_open() & has_borrower()))
         .join(names, "organization_sk")
         .orderBy(F.desc_nulls_last("exposure"), "organization_id")
         .limit(k)
@@ -151,24 +153,23 @@ def month_spine(spark, year):
 
 
 def monthly_remittances(marts, year):
-    """Remittances per month and fund on a complete grid: a quiet month shows zero."""
-    funds = current_members(marts.facility).select("fund_description").distinct().filter(
-        F.col("fund_description").isNotNull()
-    )
+    """Remittances per month and fund on a complete grid: a quiet month shows zero.
+
+    Money whose fund is unknown or disputed has a line of its own, without a fund.
+    """
     received = (
         remittances(marts.fact).filter(in_year(year))
         .groupBy(F.trunc("transaction_date", "month").alias("month_start"), "fund_description")
         .agg(F.count("amount").alias("n"), F.sum("amount").alias("total"))
     )
+    funds = current_members(marts.facility).select("fund_description").union(
+        received.select("fund_description")).distinct()
     grid = F.broadcast(month_spine(marts.fact.sparkSession, year)).crossJoin(funds)
-    return (
-        grid.join(received, ["month_start", "fund_description"], "left")
-        .select(
-            "month_start", "fund_description",
-            F.coalesce("n", F.lit(0)).alias("remittances"),
-            F.coalesce("total", F.lit(0)).cast("decimal(38,3)").alias("remittance_total"),
-        )
-        .orderBy("month_start", "fund_description")
+    same = [grid[c].eqNullSafe(received[c]) for c in ("month_start", "fund_description")]
+    return grid.join(received, same, "left").select(
+        grid["month_start"], grid["fund_description"],
+        F.coalesce("n", F.lit(0)).alias("remittances"),
+        F.coalesce("total", F.lit(0)).cast("decimal(38,3)").alias("remittance_total"),
     )
 
 
@@ -176,7 +177,7 @@ def year_totals(marts, year):
     return (
         remittances(marts.fact).filter(in_year(year)).groupBy("fund_description")
         .agg(F.count("*").alias("remittances"), F.sum("amount").alias("remittance_total"))
-        .orderBy(F.desc("remittance_total"))
+        .orderBy(F.desc_nulls_last("remittance_total"), "fund_description")
     )
 
 
@@ -216,9 +217,15 @@ def raw_name_loss(crm_raw, facility_raw):
                              F.col("facilities") - F.col("matched_on_raw_name"))
 
 
+def has_borrower():
+    """The facility names a borrower; one without leads to the guard member or nowhere."""
+    return F.col("organization_sk") != F.md5(F.lit(NO_ORGANIZATION))
+
+
 def industry_label():
+    unknown = F.col("source_system").isNull() | (F.col("source_system") == FROM_NOWHERE)
     return (
-        F.when(F.col("source_system").isNull(), NO_BORROWER)
+        F.when(unknown, NO_BORROWER)
         .when(F.col("source_system") == FROM_SERVICING, NO_CRM)
         .when(F.col("industry").isNull(), NO_INDUSTRY)
         .otherwise(F.col("industry"))
@@ -244,7 +251,7 @@ def labelled_borrowers(marts):
 
 def exposure_by_industry(marts):
     totals = labelled_borrowers(marts).groupBy("industry").agg(
-        F.count(F.when(F.col("source_system").isNotNull(), 1)).alias("borrowers"),
+        F.count(F.when(F.col("source_system") != FROM_NOWHERE, 1)).alias("borrowers"),
         F.sum("facilities").alias("facilities"),
         F.sum("exposure").alias("exposure"),
         F.sum("open_exposure").alias("open_exposure"),
@@ -256,17 +263,21 @@ def exposure_by_industry(marts):
 
 
 def unmapped_borrowers(marts):
-    """The borrowers behind the two unmapped labels."""
-    unmapped = current_borrowers(marts.organization).filter(
-        (F.col("source_system") == FROM_SERVICING) | F.col("industry").isNull()
-    )
+    """The borrowers behind the three labels that are no industry, one line for none at all."""
+    members = marts.organization.filter("is_current_ind").select(
+        "organization_sk", "organization_name", "source_system", "industry")
+    known = (F.col("source_system") != FROM_NOWHERE) & (F.col("source_system") != FROM_SERVICING)
     return (
         borrower_exposure(current_members(marts.facility))
-        .join(unmapped.select("organization_sk", "organization_name", "source_system"),
-              "organization_sk")
+        .join(members, "organization_sk", "left")
+        .filter(~F.coalesce(known & F.col("industry").isNotNull(), F.lit(False)))
+        .select(
+            F.when(F.col("source_system") != FROM_NOWHERE, F.col("organization_name"))
+            .alias("organization_name"),
+            F.when(F.col("source_system") != FROM_NOWHERE, F.col("source_system"))
+            .alias("source_system"), "facilities", "exposure")
         .groupBy("organization_name", "source_system")
         .agg(F.sum("facilities").alias("facilities"), F.sum("exposure").alias("exposure"))
-        .orderBy(F.desc_nulls_last("exposure"), "organization_name")
     )
 
 
@@ -290,7 +301,7 @@ def investor_summary(marts, k=5):
     ).agg(
         level.alias("level"),
         F.sum("n").alias("facility_count"),
-        F.countDistinct("organization_sk").alias("borrower_count"),
+        F.countDistinct(F.when(has_borrower(), F.col("organization_sk"))).alias("borrower_count"),
         F.sum("amount").cast("decimal(38,3)").alias("outstanding_balance"),
     ).select(
         F.when(F.col("level") == 3, 1).when(F.col("level") == 1, 2).otherwise(3)
@@ -302,7 +313,8 @@ def investor_summary(marts, k=5):
         "facility_count", "borrower_count", "outstanding_balance",
     )
     largest = (
-        cells.filter("position_status = 'OPEN'").groupBy("organization_sk")
+        cells.filter((F.col("position_status") == "OPEN") & has_borrower())
+        .groupBy("organization_sk")
         .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
         .orderBy(F.desc_nulls_last("amount"), "organization_sk").limit(k)
     )

@@ -4,7 +4,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import is_blank, match_key
-from ..model import FROM_CRM, FROM_SERVICING, NO_FACILITY, REMITTANCE
+from ..model import (
+    FROM_CRM, FROM_SERVICING, NO_FACILITY, NO_ORGANIZATION, REMITTANCE,
+)
 from ..operators.skew import salted_lookup
 from .facilities import facility_conflicts, parse_facilities
 from .marts import current_borrowers, current_members
@@ -329,7 +331,9 @@ def reconciliations(marts, year):
     facility_count = known.agg(F.count("*").alias("left_value"))
     labelled = labelled_borrowers(marts)
     unlabelled = labelled.agg(
-        F.coalesce(F.sum(F.when(F.col("industry").isNull(), F.col("facilities"))), F.lit(0))
+        F.coalesce(F.sum(F.when(
+            F.col("industry").isNull() | (F.col("industry") == NO_ORGANIZATION),
+            F.col("facilities"))), F.lit(0))
         .alias("left_value"),
         F.lit(0).alias("right_value"),
     )
@@ -344,10 +348,7 @@ def reconciliations(marts, year):
     gridded = monthly_remittances(marts, year).agg(
         F.coalesce(F.sum("remittance_total"), F.lit(0)).alias("left_value")
     )
-    # the grid has no line for a remittance whose fund is disputed, nor does the total
-    ungridded = remittances(marts.fact).filter(
-        in_year(year) & F.col("fund_description").isNotNull()
-    ).agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("right_value"))
+    ungridded = remittances(marts.fact).filter(in_year(year)).agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("right_value"))
     return (
         check("headline_vs_industry", headline,
               labelled.agg(F.sum("exposure").alias("right_value")), equal)

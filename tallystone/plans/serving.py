@@ -5,51 +5,78 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions import same_text
+from ..model import STATUSES
 from ..operators.skew import salted_lookup
 from .marts import current_borrowers, current_members
 from .portfolio import status_label
 
 
+#: Rows that a page may skip by number.
+MOST_SKIPPED = 10_000
+
+LOAN = [
+    "facility_id", "organization_id", "organization_name", "industry", "fund_description",
+    "product_type", "status", "net_funds_employed", "facility_funding_limit", "discount_rate",
+    "funding_date", "maturity_date",
+]
+
+
 def api_borrower(marts):
     return current_borrowers(marts.organization).select(
         "organization_id", "organization_name", "industry", "state", "relationship_owner"
     )
 
 
-def api_loan(marts):
-    """Every real facility; one without a borrower stays, with NULL borrower columns."""
+def with_borrower(facilities, marts):
+    """Facilities with their borrower's columns, NULL where there is no real one."""
     borrowers = current_borrowers(marts.organization).select(
         "organization_sk", "organization_id", "organization_name", "industry"
     )
-    return salted_lookup(
-        current_members(marts.facility), borrowers, ["organization_sk"], ["facility_id"]
-    ).select(
-        "facility_id", "organization_id", "organization_name", "industry", "fund_description",
-        "product_type", "status", "net_funds_employed", "facility_funding_limit",
-        "discount_rate", "funding_date", "maturity_date",
+    return salted_lookup(facilities, borrowers, ["organization_sk"], ["facility_id"]).select(
+        *LOAN
     )
 
 
+def api_loan(marts):
+    """Every real facility; one without a borrower stays, with NULL borrower columns."""
+    return with_borrower(current_members(marts.facility), marts)
+
+
 def filter_loans(loans, status=None, fund=None):
-    """Optional filters, any casing; ``UNKNOWN`` finds loans without a status."""
+    """Optional filters, any casing; ``UNKNOWN`` finds loans without a status.
+
+    Any other status outside the domain is refused.
+    """
     wanted = []
     if status is not None:
+        if status.upper() not in [*STATUSES, "UNKNOWN"]:
+            raise ValueError(f"unknown loan status {status!r}")
         wanted.append(same_text(status_label(), F.lit(status)))
     if fund is not None:
         wanted.append(same_text(F.col("fund_description"), F.lit(fund)))
     return loans.filter(reduce(lambda a, b: a & b, wanted, F.lit(True)))
 
 
-def loan_page(marts, status=None, fund=None, limit=50, offset=0):
-    """One page in facility order, each row with the number of loans that match."""
-    if not 1 <= limit <= 200 or offset < 0:
-        raise ValueError("limit must be 1 to 200 and offset not negative")
-    matching = filter_loans(api_loan(marts), status, fund)
-    total = filter_loans(current_members(marts.facility), status, fund).agg(
-        F.count("*").alias("total")
+def loan_page(marts, status=None, fund=None, limit=50, offset=0, after=None):
+    """One page in facility order, each row with the number of loans that match.
+
+    Facilities are filtered and paged first, and only the page meets the borrowers. A deep
+    page is asked for by ``after``, the last facility id of the page before: an ``offset``
+    holds all rows up to the page in one place.
+    """
+    if not 1 <= limit <= 200 or not 0 <= offset <= MOST_SKIPPED:
+        raise ValueError(f"limit must be 1 to 200 and offset 0 to {MOST_SKIPPED}")
+    matching = filter_loans(current_members(marts.facility), status, fund)
+    total = matching.agg(F.count("*").alias("total"))
+    rest = matching if after is None else matching.filter(F.col("facility_id") > after)
+    page = rest.orderBy("facility_id").offset(offset).limit(limit)
+    borrowers = current_borrowers(marts.organization).select(
+        "organization_sk", "organization_id", "organization_name", "industry"
     )
-    page = matching.orderBy("facility_id").offset(offset).limit(limit)
-    return page.crossJoin(F.broadcast(total)).orderBy("facility_id")
+    needed = borrowers.join(F.broadcast(page.select("organization_sk")), "organization_sk",
+                            "left_semi")
+    named = page.join(F.broadcast(needed), "organization_sk", "left").select(*LOAN)
+    return named.crossJoin(F.broadcast(total)).orderBy("facility_id")
 
 
 def borrower_loans(marts, organization_id):

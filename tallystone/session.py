@@ -6,6 +6,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local_parents = {}
+
+
 def build_session(name="tallystone", master=None, **conf):
     """A session with the settings the jobs are written for.
 
@@ -37,6 +40,8 @@ def shared_dir(spark, label):
     if parent is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        parent = tempfile.mkdtemp(prefix="tallystone-")
-        spark.conf.set("spark.checkpoint.dir", parent)
+        application = spark.sparkContext.applicationId
+        if application not in _local_parents:
+            _local_parents[application] = tempfile.mkdtemp(prefix="tallystone-")
+        parent = _local_parents[application]
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,5 +1,8 @@
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallystone.model import DIM_FACILITY, FACT, empty
 from tallystone.operators.scd2 import scd2_merge
 from tallystone.operators.upsert import upsert_outcomes
@@ -9,6 +12,7 @@ from tallystone.plans.marts import (
     BuiltMarts, Exports, current_members, fact_source, first_fact, load_facilities, load_fact,
     resolve_orphans,
 )
+from tallystone.plans.organizations import organizations
 from tallystone.plans.transactions import parse_transactions, resolve_transactions
 
 from helpers import FIRST, SECOND, THIRD, crm, fac, led, rows_of
@@ -94,8 +98,10 @@ def test_reports(spark):
     # F1 200, F2 -100, F3 50, F4 20, F5 states 500 and has no ledger
     assert (total.total_facilities, total.total_outstanding) == (5, Decimal("670.000"))
     assert rows_of(portfolio.exposure_by_industry(marts), "industry", "facilities", "borrowers") == [
-        ("INDUSTRY NOT SET", 1, 1), ("NOT IN CRM", 1, 1), ("NULL ORGANIZATION", 1, 1),
-        ("Timber", 2, 1)]
+        ("INDUSTRY NOT SET", 1, 1), ("NOT IN CRM", 1, 1), ("Timber", 2, 1),
+        ("Unmapped borrower", 1, 0)]
+    assert rows_of(portfolio.unmapped_borrowers(marts), "organization_name", "facilities") == [
+        ("BIRCH", 1), ("CEDAR", 1), (None, 1)]
     months = portfolio.monthly_remittances(marts, 2026).collect()
     assert len(months) == 12 and sum(m.remittance_total for m in months) == Decimal("170.000")
     assert [r.result for r in quality.reconciliations(marts, 2026).collect()] == ["PASS"] * 6
@@ -105,6 +111,7 @@ def test_reports(spark):
                    "current_balance") == [("F4", Decimal("20.000"))]
     assert portfolio.orphan_totals(marts).first().orphan_amount == Decimal("70.000")
     lines = portfolio.investor_summary(marts).collect()
+    assert lines[0].borrower_count == 3 and lines[0].facility_count == 5
     assert [r.metric_group for r in lines] == [
         "PORTFOLIO", "FUND", "POSITION STATUS", "POSITION STATUS", "CONCENTRATION"]
 
@@ -115,6 +122,12 @@ def test_serving(spark):
     page = serving.loan_page(marts, limit=2, offset=1).collect()
     assert [(r.facility_id, r.total) for r in page] == [("F2", 5), ("F3", 5)]
     assert serving.loan_page(marts, "active").count() == serving.loan_page(marts, "ACTIVE").count()
+    after = serving.loan_page(marts, limit=2, after="F2").collect()
+    assert [(r.facility_id, r.total) for r in after] == [("F3", 5), ("F4", 5)]
+    assert page[1].organization_name == "CEDAR" and after[1].organization_name is None
+    for wrong in (dict(status="Lost"), dict(limit=0), dict(offset=-1), dict(offset=10 ** 9)):
+        with pytest.raises(ValueError):
+            serving.loan_page(marts, **wrong)
     assert serving.borrower_loans(marts, "nobody").count() == 0
     assert rows_of(serving.borrower_loans(marts, "c3"), "facility_id") == [(None,)]
     assert serving.api_loan(marts).filter("facility_id = 'F4'").first().organization_id is None
@@ -141,3 +154,60 @@ def test_intake(spark):
     parsed = parse_transactions(rows).first()
     assert (parsed.facility_id, parsed.amount, parsed.share_class, parsed.parse_fail_ind) == (
         "F1", Decimal("100.500"), "Class A", False)
+
+
+class Damaged:
+    """Marts with some of their tables replaced."""
+
+    def __init__(self, marts, **tables):
+        self.organization = tables.get("organization", marts.organization)
+        self.facility = tables.get("facility", marts.facility)
+        self.fact = tables.get("fact", marts.fact)
+
+
+def failing(df):
+    return {r[0] for r in df.collect() if r.result == "FAIL"}
+
+
+def test_checks_fail_on_damaged_marts(spark):
+    marts = book(spark)
+    exports = marts.exports
+    staged = organizations(exports.crm, exports.fac), facilities(exports.fac)
+
+    def integrity(**tables):
+        return failing(quality.integrity_checks(Damaged(marts, **tables), *staged))
+
+    people, loans, fact = marts.organization, marts.facility, marts.fact
+    assert integrity() == set()
+    assert integrity(organization=people.filter("organization_name <> 'CEDAR'")) == {
+        "orphan_facilities_marts"}
+    assert integrity(organization=people.union(people.limit(1))) == {"duplicate_org_sk_marts"}
+    assert integrity(facility=loans.union(loans.filter("facility_id = 'F1'"))) == {
+        "duplicate_facility_sk_marts"}
+    assert integrity(fact=fact.union(fact.limit(1))) == {"duplicate_transaction_id"}
+    twice = Damaged(marts, organization=people.union(people.filter("organization_name = 'BIRCH'")))
+    assert quality.join_fan_out(twice).first().result == "FAIL"
+    assert quality.join_fan_out(marts).first().result == "PASS"
+
+    def reconciled(**tables):
+        return failing(quality.reconciliations(Damaged(marts, **tables), 2026))
+
+    assert "orphans_on_real_facilities" in reconciled(
+        fact=fact.withColumn("known_facility_ind", F.lit(False)))
+    assert "headline_vs_industry" in reconciled(
+        organization=people.union(people.filter("organization_id = 'C1'")))
+    assert "open_book_within_portfolio" in reconciled(facility=loans.withColumn(
+        "net_funds_employed", F.when(F.col("status") == "CLOSED", F.lit(-900)).otherwise(
+            F.col("net_funds_employed")).cast("decimal(35,3)")))
+    assert quality.privacy_check(marts).first().result == "PASS"
+    alone = Damaged(marts, facility=loans.withColumn("status", F.when(
+        F.col("facility_id") == "F1", "ACTIVE").otherwise("CLOSED")))
+    assert quality.privacy_check(alone).first().result == "FAIL"  # a cell of one facility
+
+
+def test_money_without_a_fund_has_its_line(spark):
+    marts = book(spark)
+    lost = Damaged(marts, fact=marts.fact.withColumn("fund_description", F.lit(None).cast("string")))
+    months = portfolio.monthly_remittances(lost, 2026).filter("fund_description is null")
+    assert months.agg(F.sum("remittance_total")).first()[0] == Decimal("170.000")
+    assert failing(quality.reconciliations(lost, 2026)) == set()

@@ -32,7 +32,7 @@ def test_salted_lookup_equals_plain_join(spark, how):
 def test_heavy_keys_are_spread(spark):
     facts = spark.createDataFrame(skewed(), "id int, k string")
     sizes = facts.groupBy("k").agg(F.count("*").alias("rows"))
-    assert {r.k for r in heavy_keys(sizes, ["k"], share=0.05).collect()} == {"hot", None}
+    assert {r.k for r in heavy_keys(sizes, ["k"], heavy=150).collect()} == {"hot", None}
     dim = spark.createDataFrame([("hot", 1)], "k string, v int")
     plan = salted_lookup(facts, dim, ["k"], ["id"])._jdf.queryExecution().toString()
     assert "_piece" in plan
@@ -109,3 +109,13 @@ def test_running_balance_by_brute_force(spark):
 def test_guard_facility_has_no_balance(spark):
     df = spark.sql(f"select md5('{NO_FACILITY}') as facility_sk, cast(5 as decimal(35,3)) amount")
     assert net_funds(df).count() == 0
+
+
+def test_a_key_with_half_the_rows_is_cut_by_its_size(spark):
+    facts = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 'hot', cast(id as string)) as k")
+    dimension = spark.createDataFrame([("hot", 1), ("1", 2), ("hot", 3)], "k string, v int")
+    found = salted_lookup(facts, dimension, ["k"], ["id"], heavy=1000, piece=100)
+    assert rows_of(found, "id", "k", "v") == rows_of(facts.join(dimension, "k", "left"),
+                                                     "id", "k", "v")
+    sizes = facts.groupBy("k").agg(F.count("*").alias("rows"))
+    assert rows_of(heavy_keys(sizes, ["k"], heavy=1000, piece=100)) == [("hot", 20)]
