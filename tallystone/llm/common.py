@@ -95,6 +95,19 @@ def few(df, rows=100_000):
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def spread_sample(df, keys, size, seed):
+    """At most ``size`` rows of ``df``, the same in every run, by a hash of ``keys``.
+
+    Counted first, so that only about as many rows as are wanted are sorted or sent on.
+    """
+    rows = df.count()
+    place = F.xxhash64(*[k.cast("string") for k in keys], F.lit(seed))
+    if rows > size:
+        share = min(1.0, (1.2 * size + 100) / rows)
+        df = df.filter(F.pmod(place, F.lit(1 << 40)) < int(share * (1 << 40)))
+    return df.orderBy(place, *keys).limit(size)
+
+
 def crc_bucket(column, buckets):
     """crc32 of the value as text, modulo ``buckets``."""
     return F.crc32(column.cast("string")) % buckets

@@ -17,7 +17,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F, types as T
 
-from .common import crc_bucket, map_texts, quoted
+from .common import crc_bucket, map_texts, quoted, spread_sample
 
 #: Bounds of the training sample: texts, and characters of a stretch taken from each.
 SAMPLE, SAMPLE_BYTES = 4000, 4096
@@ -225,17 +225,17 @@ def pooled(net, texts, window=WINDOW, side=SIDE_BY_SIDE):
 
 def sample(docs, id_col, text, label, folds, sample_size):
     """A bounded sample of labelled texts outside the held-out fold, the same in every run."""
-    learn = docs.filter(quoted(label).isNotNull() & quoted(text).isNotNull()
-                        & F.coalesce(crc_bucket(quoted(id_col), folds) != 0, F.lit(True)))
-    mixed = F.xxhash64(quoted(id_col).cast("string"), F.lit(7))
+    learn = docs.filter(quoted(label).isNotNull() & F.coalesce(
+        crc_bucket(quoted(id_col), folds) != 0, F.lit(True)))
     whole = quoted(text).cast("string")
     # of a longer text a stretch from anywhere in it
     start = 1 + F.pmod(F.xxhash64(whole), F.greatest(
         F.length(whole) - SAMPLE_BYTES + 1, F.lit(1)).cast("long")).cast("int")
-    chosen = learn.select(
-        F.substring(whole, start, F.lit(SAMPLE_BYTES)).alias("text"),
-        quoted(label).alias("label"), mixed.alias("mixed"), F.xxhash64(quoted(text)).alias("tie"))
-    rows = chosen.orderBy("mixed", "tie").limit(sample_size).collect()
+    cut = learn.select(quoted(id_col).alias("id"), quoted(label).alias("label"),
+                       F.substring(whole, start, F.lit(SAMPLE_BYTES)).alias("text"))
+    rows = [r for r in spread_sample(cut, [F.col("id")], sample_size, 7).collect()
+            if r["text"] is not None]
+    rows.sort(key=lambda r: (r["text"], r["label"]))
     pairs = [(prepared(r["text"].encode()), r["label"]) for r in rows]
     return [(t, x) for t, x in pairs if t is not None]
 

@@ -27,7 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F, types as T
 
-from .common import as_bytes, crc_bucket, map_texts, materialize, quoted
+from .common import (
+    as_bytes, crc_bucket, map_texts, materialize, quoted, spread_sample,
+)
 from .tokens import Places
 
 WINDOW, DECAY, CODES = 10, 0.8, 64
@@ -203,8 +205,8 @@ def labelled(docs, labels, id_col, text, label, folds, size):
     """A bounded sample per class of texts outside the held-out fold, near copies once."""
     known = labels.filter(F.col(label).isin(0, 1) & F.coalesce(
         crc_bucket(quoted(id_col), folds) != 0, F.lit(True)))
-    mixed = F.struct(F.xxhash64(quoted(id_col).cast("string"), F.lit(11)), quoted(id_col))
-    parts = [known.filter(F.col(label) == y).orderBy(mixed).limit(size) for y in (0, 1)]
+    parts = [spread_sample(known.filter(F.col(label) == y), [quoted(id_col)], size, 11)
+             for y in (0, 1)]
     wanted = materialize(parts[0].unionByName(parts[1]).select(
         quoted(id_col).alias("wanted"), quoted(label).cast("int").alias("label")), "toxic-sample")
     pairs = docs.select(quoted(id_col).alias("id"), quoted(text).cast("string").alias("text"))

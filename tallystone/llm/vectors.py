@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
-from .common import materialize, quoted
+from .common import materialize, quoted, spread_sample
 from .components import connected
 
 #: Vectors that centroids are fitted on; rows of a shard; centroids at most.
@@ -224,8 +224,8 @@ def linked_nodes(nodes, threshold):
         return spark.createDataFrame([], "node long, links long, root long")
     per = max(1, -(-found[0] // (max(1, found[1]) * SHARD)))
     k = min(CENTROIDS, per)
-    sample = nodes.filter(F.col("size") == found[2]).select("vector").orderBy(
-        F.xxhash64("node", F.lit(3))).limit(SAMPLE).collect()
+    sample = spread_sample(nodes.filter(F.col("size") == found[2]).select("node", "vector"),
+                           [F.col("node")], SAMPLE, 3).collect()
     size = found[2]
     centers = spark.sparkContext.broadcast(centroids(unit([r["vector"] for r in sample]), k))
 
@@ -346,7 +346,7 @@ def audit(table, result, id_col="vec_id", vector="embedding", label="label", thr
     good = usable(quoted(vector)) & quoted(label).isNotNull()
     rows = table.filter(good).select(quoted(id_col).alias("id"), quoted(label).alias("label"),
                                      quoted(vector).alias("vector"))
-    asked = rows.orderBy(F.xxhash64("id", F.lit(9))).limit(queries).collect()
+    asked = spread_sample(rows, [F.col("id")], queries, 9).collect()
     if not asked:
         return 1.0
     targets = [(r["id"], r["label"], unit([r["vector"]])[0]) for r in asked]
