@@ -5,6 +5,7 @@ agree only if both are right.
 """
 
 from tallystone import demo
+from tallystone.model import CRM_FIELDS, FACILITY_FIELDS
 from tallystone.plans.quality import RULES
 
 D = demo.DuckText()
@@ -484,6 +485,11 @@ REQUESTS = f"""select r.*, l.facility_id as known_id, l.fund_description as know
          when l.facility_id is null then 'FACILITY_NOT_FOUND' end as rejection_code
     from raw_requests r left join loan l on upper(l.facility_id) = upper(r.facility_id)"""
 
+AUDIT_COUNTS = """count(*) as listed, count(*) filter (where duplicate_ind) as duplicates,
+    count(*) filter (where conflict_ind) as conflicts,
+    count(*) filter (where parse_fail_ind) as unreadable"""
+
+
 ORG_COLUMNS = ("organization_sk, organization_id, organization_name, industry, state, "
                "relationship_owner, date_added, source_system, change_tracking_key")
 CONFLICTS = ", ".join(f"{c}_conflict_ind" for c in FAC)
@@ -582,6 +588,12 @@ def oracle():
                 where duplicate_ind or conflict_ind or parse_fail_ind),
             (select count(*) from fact_delta),
             (select count(*) from fact_after where outcome in ('INSERT', 'UPDATE'))""",
+        "stream_audit_listing": f"""select 1 as run, {AUDIT_COUNTS} from ({flagged()})
+            where duplicate_ind or conflict_ind or parse_fail_ind
+            union all select 2, {AUDIT_COUNTS} from ({flagged('delta')})
+            where duplicate_ind or conflict_ind or parse_fail_ind""",
+        "crm_files": f"select {', '.join(CRM_FIELDS)}, true as traced from raw_crm",
+        "facility_files": f"select {', '.join(FACILITY_FIELDS)}, true as traced from raw_fac",
         "intake_to_fact": f"""select 'API-' || md5(request_id) as transaction_id,
             known_id as facility_id, d as transaction_date, cast(a as decimal(35,3)) as amount,
             case upper(share_class) when 'CLASS A' then 'Class A' when 'CLASS B' then 'Class B' end

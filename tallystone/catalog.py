@@ -13,7 +13,9 @@ from .functions import (
     accounting_amount, any_date, currency, ledger_date, match_key, rate, short_us_date,
     status_code,
 )
-from .model import DIM_FACILITY, DIM_ORGANIZATION, FACT, LEDGER_FIELDS, empty
+from .model import (
+    CRM_FIELDS, DIM_FACILITY, DIM_ORGANIZATION, FACILITY_FIELDS, FACT, LEDGER_FIELDS, empty,
+)
 from .operators.balances import correct_balances, net_funds, running_balance
 from .operators.scd2 import scd2_merge
 from .operators.upsert import upsert_outcomes
@@ -313,8 +315,32 @@ def stream_incremental(b):
     return current_members(job.marts().facility).select("facility_id", "net_funds_employed")
 
 
+def from_shared_folder(b, kind):
+    """All three exports written into one folder; one of them picked by name and read back."""
+    exports = {"crm": (b.crm, CRM_FIELDS), "fac": (b.fac, FACILITY_FIELDS),
+               "led": (b.led, LEDGER_FIELDS)}
+    folder = shared_dir(b.spark, "exports")
+    for ending, (rows, fields) in exports.items():
+        write_export(rows, fields, folder, ending)
+    fields = exports[kind][1]
+    rows = read_export(b.spark, folder, fields, f"*.{kind}")
+    return rows.select(*fields, (F.col("file_last_modified").isNotNull()
+                                 & (F.col("file_row_number") > 0)).alias("traced"))
+
+
+_streamed = {}
+
+
 def streamed(b):
-    """The pipeline's state after two deliveries, the first in several files."""
+    """The pipeline after two deliveries, run when a session first asks for it."""
+    place = (b.spark.sparkContext.applicationId, b.sf_dir)
+    if place not in _streamed:
+        _streamed[place] = stream_deliveries(b)
+    return _streamed[place]
+
+
+def stream_deliveries(b):
+    """Two deliveries through the streaming pipeline, the first in several files."""
     root = shared_dir(b.spark, "ledger-state")
     job = LedgerPipeline(b.spark, f"{root}/tables", demo.ALIASES, buckets=16)
     job.load_dimensions("dims-1", b.crm, b.fac, demo.RUN_TS)
@@ -338,6 +364,17 @@ def stream_run_summary(b):
         "fact", "changed")
 
 
+def stream_audit_listing(b):
+    """What each run put into the audit, by order of the runs."""
+    audit = streamed(b).tables.read("audit")
+    per_load = audit.groupBy("seq").agg(
+        F.count("*").alias("listed"), F.count_if("duplicate_ind").alias("duplicates"),
+        F.count_if("conflict_ind").alias("conflicts"),
+        F.count_if("parse_fail_ind").alias("unreadable"))
+    # one row per load
+    return per_load.withColumn("run", F.row_number().over(Window.orderBy("seq"))).drop("seq")
+
+
 def intake_to_fact(b):
     """Accepted requests in the fact, after every request was submitted twice."""
     root = shared_dir(b.spark, "intake")
@@ -390,6 +427,8 @@ QUERIES = {
     # sources
     "file_provenance": file_provenance,
     "load_once": load_once_query,
+    "crm_files": lambda b: from_shared_folder(b, "crm"),
+    "facility_files": lambda b: from_shared_folder(b, "fac"),
     # staging
     "org_dedup": lambda b: crm_organizations(b.crm),
     "org_conformed": lambda b: organizations(b.crm, b.fac),
@@ -424,6 +463,7 @@ QUERIES = {
     "stream_incremental": stream_incremental,
     "stream_fact": stream_fact,
     "stream_run_summary": stream_run_summary,
+    "stream_audit_listing": stream_audit_listing,
     "intake_to_fact": intake_to_fact,
     # checks
     "layer_counts": layer_counts,
