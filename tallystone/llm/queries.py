@@ -24,7 +24,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_warc": warc.ORACLE,
-    "op5_vectors": lambda spark, d: vectors.near_duplicates(table(spark, d, "embeddings")),
     "op6_host_rules": host_rules.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_mixing": mixing.ORACLE,

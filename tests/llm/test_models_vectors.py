@@ -7,7 +7,7 @@ import pytest
 from cases import DOCS, awkward, document
 from pyspark.sql import functions as F, types as T
 
-from tallystone.llm import langid, toxicity, vectors
+from tallystone.llm import langid, queries, toxicity, vectors
 from tallystone.llm.common import table
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -203,3 +203,9 @@ def test_dense_groups_of_vectors(spark, monkeypatch, block, shard):
 def test_recall_on_the_given_vectors(spark):
     given = table(spark, SMALL, "embeddings")
     assert vectors.audit(given, vectors.near_duplicates(given)) >= 0.9
+
+
+def test_counterparts_are_sql():
+    """An operator is never its own counterpart; vectors have brute force and the audit."""
+    assert all(isinstance(sql, str) for sql in queries.ORACLES.values())
+    assert "op5_vectors" not in queries.ORACLES
