@@ -8,7 +8,7 @@ from tallystone.llm.common import materialize, table
 
 STAGES = [
     ("quality rules", lambda spark, docs, sf_dir: host_rules.quality_documents(docs)),
-    ("line dedup", lambda spark, docs, sf_dir: lines.without_common_lines(docs)),
+    ("line dedup", lambda spark, docs, sf_dir: lines.without_common_lines(docs, keep_first=True)),
     ("near-duplicate documents", lambda spark, docs, sf_dir: simhash.one_of_each(docs)),
     ("mixing", lambda spark, docs, sf_dir: mixing.mixed_documents(docs)),
     ("packing", lambda spark, docs, sf_dir: packing.packed_pieces(docs)),

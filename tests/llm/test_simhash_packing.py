@@ -112,6 +112,20 @@ def test_one_of_each_group_stays(spark):
         for i, p in {label[p]: (i, p) for i, p in given}.values())
 
 
+def test_one_copy_of_a_clean_text_keeps_its_lines(spark):
+    """Stages 2 and 3: no group is emptied, and groups are not linked through empty texts."""
+    groups = ["\n".join(plain(40, f"{name}{k}x") for k in range(4)) for name in "abc"]
+    rows = [document(100 * g + i, t) for g, t in enumerate(groups) for i in range(20)]
+    rows += [document(1000 + i, plain(60, f"own{i}x")) for i in range(5)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        docs = materialize(stage(spark, docs, SMALL), "stage")
+    kept = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert Counter(t for t in kept.values() if t) == Counter(
+        groups + [plain(60, f"own{i}x") for i in range(5)])
+    assert all(kept[100 * g] == t for g, t in enumerate(groups))
+
+
 def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
