@@ -11,6 +11,8 @@ from itertools import chain
 
 import numpy as np
 
+#: Added tokens of byte_bpe_50k.json; its tiktoken form holds the ranks only.
+ADDED = {"<|endoftext|>": 50256}
 BLANK = re.compile(r"(?<!\s) (?=\S)")
 RUN = re.compile(r"\s\s")
 #: Distinct stretches kept at once, and stretches handled in one go.
@@ -18,7 +20,7 @@ TABLE, PORTION = 400_000, 200_000
 
 
 def byte_pair_encoder(path):
-    """A function from texts to lists of ids, special tokens' names being plain text."""
+    """A function from texts to lists of ids; an added token's name in a text is that token."""
     if path.endswith(".tiktoken"):
         import public_tokenizers
         import tiktoken
@@ -26,12 +28,11 @@ def byte_pair_encoder(path):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
-                                mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [own.encode_ordinary(t) for t in texts]
+                                mergeable_ranks=ranks, special_tokens=ADDED)
+        return lambda texts: [own.encode(t, allowed_special="all") for t in texts]
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda texts: [x.ids for x in tokenizer.encode_batch_fast(
         texts, add_special_tokens=False)]
 

@@ -150,6 +150,29 @@ def test_ids_equal_the_tokenizers(spark, monkeypatch, kind):
         assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
+NAMED = ["<|endoftext|>", "end of page <|endoftext|> next", "glued<|endoftext|>word",
+         "<|endoftext|> first", " <|endoftext|>", "last <|endoftext|>", "blank after <|endoftext|> ",
+         "a  <|endoftext|>  b", "x\n<|endoftext|>\n\ny", "<|endoftext|><|endoftext|> <|endoftext|>",
+         "I<|endoftext|>'ll", "<|endoftext|", "<| endoftext |>", "<|ENDOFTEXT|>"]
+
+
+@pytest.mark.parametrize("kind", ["json", "tiktoken"])
+def test_added_token_named_in_a_text(kind):
+    import public_tokenizers
+
+    made = tokens.Encoder(public_tokenizers.path(f"byte_bpe_50k.{kind}")).encode_all(NAMED)
+    whole = tokenizer()
+    wanted = [whole.encode(t, add_special_tokens=False).ids for t in NAMED]
+    assert wanted[1] == [437, 286, 2443, 220, 50256, 1306]
+    assert [ids.tolist() for ids in made] == wanted
+
+
+def test_packing_of_a_named_token(spark):
+    texts = dict(enumerate(NAMED))
+    docs = spark.createDataFrame([document(i, t) for i, t in texts.items()], DOCS)
+    check_places(packing.packed_pieces(docs).collect(), {i: [t] for i, t in texts.items()})
+
+
 def check_places(rows, texts, capacity=1024):
     """Every document is there in order, and sequences are filled without gaps or overlaps."""
     whole = tokenizer()
