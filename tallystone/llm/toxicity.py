@@ -19,7 +19,9 @@ repeated whole are scored alike; null labels are not learned from; without both
 learn from every score is 0; an empty table gives an empty result.
 """
 
+import hashlib
 import re
+from collections import Counter
 from itertools import chain, combinations
 
 import numpy as np
@@ -37,6 +39,9 @@ WINDOW, DECAY, CODES = 10, 0.8, 64
 SAMPLE, POSITIVES, NEGATIVES, HARD, LANDMARKS = 4000, 400, 6000, 2000, 240
 #: Distinct stretches kept at once by a task, and stretches handled in one go.
 TABLE, PORTION = 400_000, 200_000
+#: Hash functions of a signature, and the share of equal values that makes two texts near copies.
+FACTORS = np.random.default_rng(9).integers(1 << 62, 1 << 63, 64, np.uint64) | np.uint64(1)
+NEAR = 0.8
 SPELLED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
 
 TRIPLES = [(i, j, k, DECAY ** (k - i + 1)) for i, j, k in combinations(range(WINDOW), 3)]
@@ -145,10 +150,10 @@ def fit(positive, negative, landmarks=LANDMARKS, ridge=1e-5, rounds=50):
     return weights, float(w[-1])
 
 
-def logistic(values, labels, rounds=50):
+def logistic(values, labels, weights, rounds=50):
     """Slope and offset of the probability by value."""
     x = np.column_stack([values, np.ones(len(values))])
-    weigh = 1 / len(values)
+    weigh = weights / weights.sum()
     w = np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -201,8 +206,35 @@ class Scorer:
         return found
 
 
+def signature(parts):
+    """Lowest value of each hash function over a set of stretches, as bytes."""
+    if not parts:
+        return b""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, len(parts))
+    lowest = [(hashes * f >> np.uint64(32)).min() for f in FACTORS]
+    return np.array(lowest, "<u4").tobytes()
+
+
+def near_groups(signatures):
+    """The first earlier text that each text is a near copy of, or itself, by place."""
+    group, firsts, kept = [], [], np.empty((len(signatures), len(FACTORS)), "<u4")
+    for i, s in enumerate(signatures):
+        own, mine = np.frombuffer(s, "<u4"), i
+        if len(own):
+            shared = (kept[:len(firsts)] == own).mean(axis=1)
+            near = np.flatnonzero(shared >= NEAR)
+            if len(near):
+                mine = firsts[near[0]]
+            else:
+                kept[len(firsts)] = own
+                firsts.append(i)
+        group.append(mine)
+    return group
+
+
 def labelled(docs, labels, id_col, text, label, folds, size):
-    """A bounded sample per class of texts outside the held-out fold, near copies once."""
+    """A bounded sample per class of texts outside the held-out fold, equal sets of stretches
+    once: label, parts, their group of near copies and its size."""
     known = labels.filter(F.col(label).isin(0, 1) & F.coalesce(
         crc_bucket(quoted(id_col), folds) != 0, F.lit(True)))
     parts = [spread_sample(known.filter(F.col(label) == y), [quoted(id_col)], size, 11)
@@ -211,31 +243,45 @@ def labelled(docs, labels, id_col, text, label, folds, size):
         quoted(id_col).alias("wanted"), quoted(label).cast("int").alias("label")), "toxic-sample")
     pairs = docs.select(quoted(id_col).alias("id"), quoted(text).cast("string").alias("text"))
     joined = pairs.join(F.broadcast(wanted.distinct()), F.col("id") == F.col("wanted"))
-    schema = "label int, sketch long, parts array<string>"
+    schema = "label int, digest string, signature binary, parts array<string>"
 
     def cut(batches):
         for batch in batches:
             rows = [sorted(set(stretches(t))) for t in as_bytes(batch.column(1))]
-            # copies, near ones too, mostly share the lowest hash over their longer stretches
-            sketch = [min((xxhash.xxh64_intdigest(p) for p in r if len(p) > 5), default=0) >> 1
-                      for r in rows]
+            # a stretch has no blank, so the joined set stands for the set
+            digests = [hashlib.md5(" ".join(r).encode("utf-8", "surrogatepass")).hexdigest()
+                       for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sketch, pa.int64()),
-                 pa.array(rows, pa.list_(pa.string()))], names=["label", "sketch", "parts"])
+                [batch.column(0), pa.array(digests, pa.string()),
+                 pa.array([signature(r) for r in rows], pa.binary()),
+                 pa.array(rows, pa.list_(pa.string()))],
+                names=["label", "digest", "signature", "parts"])
 
     made = joined.select("label", "text").mapInArrow(cut, schema)
-    return materialize(made.dropDuplicates(["label", "sketch"]), "toxic-texts")
+    # rows that share label and digest are equal, so it does not matter which one stays
+    texts = materialize(made.dropDuplicates(["label", "digest"]), "toxic-texts")
+    rows = sorted(texts.select("label", "digest", "signature").collect())
+    found = []
+    for y in (0, 1):
+        mine = [r for r in rows if r["label"] == y]
+        groups = near_groups([r["signature"] for r in mine])
+        sizes = Counter(groups)
+        found += [(y, r["digest"], g, sizes[g]) for r, g in zip(mine, groups)]
+    groups = docs.sparkSession.createDataFrame(found, "label int, digest string, near int, copies int")
+    return materialize(texts.drop("signature").join(
+        F.broadcast(groups), ["label", "digest"]).drop("digest"), "toxic-groups")
 
 
 def examples(texts):
     """Positive and negative example strings, and the table of all harmless stretches, by
-    counts over the sample."""
+    counts over the sample. A stretch counts once per group of near copies that holds it."""
     totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
+        F.countDistinct("near").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return [], [], None
-    counts = materialize(texts.select("label", F.explode("parts").alias("part")).groupBy("part").agg(
+    held = texts.select("label", "near", F.explode("parts").alias("part")).distinct()
+    counts = materialize(held.groupBy("part").agg(
         F.count_if(F.col("label") == 1).alias("toxic"),
         F.count_if(F.col("label") == 0).alias("clean")), "toxic-parts")
     odds = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
@@ -298,11 +344,15 @@ def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
         for batch in batches:
             joined = [" ".join(p).encode() for p in batch.column("parts").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(scorer.score(joined), pa.float64())],
-                names=["label", "value"])
-
-    rows = texts.select("label", "parts").mapInArrow(value, "label int, value double").collect()
-    slope = logistic(np.array([r["value"] for r in rows]), np.array([r["label"] for r in rows]))
+                [batch.column("label"), batch.column("copies"),
+                 pa.array(scorer.score(joined), pa.float64())],
+                names=["label", "copies", "value"])
+
+    # in a fixed order, as sums of floats depend on it; a group of near copies weighs as one text
+    rows = sorted(texts.select("label", "copies", "parts").mapInArrow(
+        value, "label int, copies int, value double").collect())
+    label, copies, values = map(np.array, zip(*rows))
+    slope = logistic(values, label, 1 / copies)
     return model, slope
 
 

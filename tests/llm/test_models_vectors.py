@@ -82,6 +82,29 @@ def test_stretches_come_out_the_same_with_a_small_table(monkeypatch, talk):
     assert toxicity.Scorer(model).score(texts) == pytest.approx(whole)
 
 
+def test_unrelated_labelled_texts_are_all_learned_from(spark):
+    """Texts sharing one word, or short ones only, are no copies; copies count once."""
+    rng = np.random.default_rng(6)
+    made = ["".join(rng.choice(list("abcdefghijklm"), 5)) for _ in range(600)]
+    shared = [" ".join(["together", *(f"{w}{i:03}" for w in made[:20])]) for i in range(60)]
+    short = [" ".join(made[60 + 3 * i:63 + 3 * i]) for i in range(60)]
+    near = " ".join(f"longer{w}" for w in made[300:340])
+    texts = shared + short + [near] * 5 + [f"{near} {w}" for w in made[400:410]]
+    docs = spark.createDataFrame([document(i, t) for i, t in enumerate(texts)], DOCS)
+    labels = spark.createDataFrame([(i, 0, i % 2, 7) for i in range(len(texts))], LABELS)
+    outside = [i for i in range(len(texts)) if not held_out(i)]
+    wanted = {(i % 2, frozenset(texts[i].split())) for i in outside}
+    # the same whatever the order and number of tasks
+    for given in (docs.repartition(3), docs.orderBy(F.desc("doc_id")).coalesce(1)):
+        rows = toxicity.labelled(given, labels, "doc_id", "text", "toxic", 5, 4000).collect()
+        assert len(rows) == len(wanted)
+        assert {(r["label"], frozenset(r["parts"])) for r in rows} == wanted
+        group = {(r["label"], r["near"]) for r in rows}
+        assert len(group) == sum(i < 120 for i in outside) + 2
+        assert sum(r["copies"] > 1 for r in rows) == len({
+            (i % 2, texts[i]) for i in outside if i >= 120})
+
+
 def test_toxicity_of_awkward_tables(spark, talk):
     _, labels, _ = talk
     rows = toxicity.toxicity(awkward(spark), labels).collect()
