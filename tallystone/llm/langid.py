@@ -17,7 +17,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F, types as T
 
-from .common import crc_bucket, map_texts, quoted, spread_sample
+from .common import crc_bucket, map_texts, quoted
 
 #: Bounds of the training sample: texts, and characters of a stretch taken from each.
 SAMPLE, SAMPLE_BYTES = 4000, 4096
@@ -223,8 +223,38 @@ def pooled(net, texts, window=WINDOW, side=SIDE_BY_SIDE):
     return total / np.maximum(total.sum(axis=1, keepdims=True), 1e-300)
 
 
+def quotas(counts, size):
+    """Texts to draw of each label: even shares, what small labels leave going to the others."""
+    wanted, left = {}, size
+    for i, (label, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        wanted[label] = min(n, max(1, left // (len(counts) - i)))
+        left -= wanted[label]
+    return wanted
+
+
+def sampled(cut, place, size):
+    """About even numbers of texts of every label, ``size`` in all, the lowest in ``place``."""
+    counts = {r["label"]: r["n"] for r in cut.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(size).collect()}
+    if not counts:
+        return []
+    wanted = quotas(counts, size)
+    # only about as many rows as are wanted are sorted or sent on
+    below = [(x, int(min(1.0, (1.2 * n + 100) / counts[x]) * (1 << 40))) for x, n in wanted.items()]
+    limits = cut.sparkSession.createDataFrame(below, T.StructType([
+        T.StructField("label", cut.schema["label"].dataType), T.StructField("below", T.LongType())]))
+    drawn = cut.withColumn("place", place).join(F.broadcast(limits), "label").filter(
+        F.pmod("place", F.lit(1 << 40)) < F.col("below"))
+    rows = []
+    for r in drawn.orderBy("place", "id").limit(2 * size + 200 * len(wanted)).collect():
+        if wanted[r["label"]]:
+            wanted[r["label"]] -= 1
+            rows.append(r)
+    return rows
+
+
 def sample(docs, id_col, text, label, folds, sample_size):
-    """A bounded sample of labelled texts outside the held-out fold, the same in every run."""
+    """A bounded sample of texts of every label outside the held-out fold, the same in every run."""
     learn = docs.filter(quoted(label).isNotNull() & F.coalesce(
         crc_bucket(quoted(id_col), folds) != 0, F.lit(True)))
     whole = quoted(text).cast("string")
@@ -233,8 +263,8 @@ def sample(docs, id_col, text, label, folds, sample_size):
         F.length(whole) - SAMPLE_BYTES + 1, F.lit(1)).cast("long")).cast("int")
     cut = learn.select(quoted(id_col).alias("id"), quoted(label).alias("label"),
                        F.substring(whole, start, F.lit(SAMPLE_BYTES)).alias("text"))
-    rows = [r for r in spread_sample(cut, [F.col("id")], sample_size, 7).collect()
-            if r["text"] is not None]
+    rows = sampled(cut.filter("text is not null"), F.xxhash64(F.col("id").cast("string"), "text",
+                                                              F.lit(7)), sample_size)
     rows.sort(key=lambda r: (r["text"], r["label"]))
     pairs = [(prepared(r["text"].encode()), r["label"]) for r in rows]
     return [(t, x) for t, x in pairs if t is not None]

@@ -135,6 +135,19 @@ def test_languages_of_awkward_documents(spark):
     assert {r["lang_pred"] for r in bare.collect()} == {"und"}
 
 
+def test_every_label_is_in_the_sample(spark):
+    """A label of a small share, too, in a table where another has nearly all rows."""
+    docs = spark.createDataFrame(
+        [document(i, f"text number {i}", "de" if i % 500 == 0 else "en") for i in range(10_000)]
+        + [document(20_000 + i, None, "fr") for i in range(50)], DOCS).repartition(3)
+    chosen = Counter(x for _, x in langid.sample(docs, "doc_id", "text", "lang", 5, 100))
+    rare = sum(not held_out(i) for i in range(0, 10_000, 500))
+    assert chosen == {"de": rare, "en": 100 - rare}
+    assert langid.sample(docs, "doc_id", "text", "lang", 5, 100) == langid.sample(
+        docs.orderBy(F.desc("doc_id")).coalesce(1), "doc_id", "text", "lang", 5, 100)
+    assert langid.quotas({"a": 5, "b": 1000, "c": 1000}, 101) == {"a": 5, "b": 48, "c": 48}
+
+
 def test_gradients_by_differences():
     net = langid.Network(["a", "b", "c"], 3)
     rng = np.random.default_rng(1)
