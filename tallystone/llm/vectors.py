@@ -1,7 +1,7 @@
 """Near-duplicate vectors by range search on a flat graph of pruned neighbours.
 
 Equal vectors of a label are one node. Nodes go to their ``OVERLAP`` nearest centroids
-(k-means on a bounded sample), and each label and centroid is a shard; shards too large for
+(k-means on a bounded sample, for each length that needs several shards), and each label and centroid is a shard; shards too large for
 one task are cut into blocks by hash. In each block every node gets neighbours that robust
 pruning leaves of its nearest ones and of a few random ones, and edges back; what the medoid
 cannot reach is tied to its nearest node that it can. A node's lists from all its shards are
@@ -219,24 +219,26 @@ def in_blocks(nodes):
 def linked_nodes(nodes, threshold):
     """Per node and task: (node, links, root), from a table of nodes and their vectors."""
     spark = nodes.sparkSession
-    found = nodes.agg(F.count(F.lit(1)), F.countDistinct("label", "size"), F.max("size")).first()
-    if not found[0]:
-        return spark.createDataFrame([], "node long, links long, root long")
-    per = max(1, -(-found[0] // (max(1, found[1]) * SHARD)))
-    k = min(CENTROIDS, per)
-    sample = spread_sample(nodes.filter(F.col("size") == found[2]).select("node", "vector"),
-                           [F.col("node")], SAMPLE, 3).collect()
-    size = found[2]
-    centers = spark.sparkContext.broadcast(centroids(unit([r["vector"] for r in sample]), k))
+    found = nodes.groupBy("size").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels"))
+    # lengths whose labels fill more than a shard have centroids of their own
+    wide = found.filter(F.col("n") > F.col("labels") * SHARD).collect()
+    fitted = {}
+    for r in sorted(wide):
+        sample = spread_sample(nodes.filter(F.col("size") == r["size"]).select("node", "vector"),
+                               [F.col("node")], SAMPLE, 3).collect()
+        k = min(CENTROIDS, -(-r["n"] // (r["labels"] * SHARD)))
+        fitted[r["size"]] = centroids(unit([x["vector"] for x in sample]), k)
+    centers = spark.sparkContext.broadcast(fitted)
 
     def assign(batches):
         for batch in batches:
             vectors = batch.column("vector")
             sizes = batch.column("size").to_numpy()
             shards = [[0]] * len(vectors)
-            fit = np.flatnonzero(sizes == size)
-            if len(fit):
-                nearness = matrix(vectors.take(pa.array(fit))) @ centers.value.T
+            for size in np.intersect1d(sizes, list(centers.value)).tolist():
+                fit = np.flatnonzero(sizes == size)
+                nearness = matrix(vectors.take(pa.array(fit))) @ centers.value[size].T
                 top = np.argsort(-nearness, axis=1, kind="stable")[:, :OVERLAP]
                 for i, t in zip(fit, top):
                     shards[i] = sorted(t.tolist())

@@ -236,6 +236,26 @@ def test_dense_groups_of_vectors(spark, monkeypatch, block, shard):
     assert vectors.audit(table_, result) >= 0.95
 
 
+def test_a_longer_vector_leaves_the_others_clustered(spark, monkeypatch):
+    """Every length with enough rows has its own centroids, whatever other lengths there are."""
+    monkeypatch.setattr(vectors, "SHARD", 50)
+    rng = np.random.default_rng(3)
+    rows = [*rng.normal(size=(300, 8)), *rng.normal(size=(200, 6)), np.ones(12)]
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(rows)]
+    shards, real = {}, vectors.in_blocks
+
+    def watched(nodes):
+        shards.update({r["size"]: r["n"] for r in nodes.groupBy("size").agg(
+            F.countDistinct("shard").alias("n")).collect()})
+        return real(nodes)
+
+    monkeypatch.setattr(vectors, "in_blocks", watched)
+    found = {r["vec_id"]: tuple(r) for r in vectors.near_duplicates(
+        spark.createDataFrame([(*r, None, None) for r in rows], VECTORS)).collect()}
+    assert shards == {8: 6, 6: 4, 12: 1}
+    assert sum(found[w[0]] == w for w in by_hand(rows)) >= 0.99 * len(rows)
+
+
 def test_recall_on_the_given_vectors(spark):
     given = table(spark, SMALL, "embeddings")
     assert vectors.audit(given, vectors.near_duplicates(given)) >= 0.9
