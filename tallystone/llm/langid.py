@@ -12,9 +12,8 @@ learn from every text is ``und`` with score 0; a label with too few texts may ne
 predicted.
 """
 
-import re
-
 import numpy as np
+import regex
 from pyspark.sql import functions as F, types as T
 
 from .common import crc_bucket, map_texts, quoted
@@ -22,7 +21,8 @@ from .common import crc_bucket, map_texts, quoted
 #: Bounds of the training sample: texts, and characters of a stretch taken from each.
 SAMPLE, SAMPLE_BYTES = 4000, 4096
 HIDDEN, WINDOW, SIDE_BY_SIDE = 8, 128, 1024
-LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a character of Unicode category L; numerals such as ½ or Ⅷ are none.
+LETTER = regex.compile(r"\p{L}")
 
 
 def prepared(text):

@@ -8,7 +8,10 @@ twice, and only those leave their task, as digests, to be counted exactly. The f
 fixed limit in size; if they fill up, more keys are counted, and the result is the same.
 
 A key counted in ``min_docs`` documents or more loses its lines: all of them, or with
-``keep_first`` all but the first in the document of smallest id.
+``keep_first`` all but the first in the document of smallest id (of equal ids the row that
+stands first in the files). Rows are named by file and place, so texts stay where they are:
+while the common lines are few, every task of the last scan holds their digests. More than
+``HELD`` of them meet the documents that lose lines in a join instead, with the same result.
 
 Defined cases: a null or empty text is one empty line, and stays empty; rows repeated whole
 count as documents of their own; a null id counts like any other (and sorts last for
@@ -24,12 +27,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F, types as T
 
-from .common import SPACE, as_bytes, few, materialize, quoted, unused
+from .common import SPACE, as_bytes, identified, materialize, quoted, unused
 
 PROBES = 4
 SEGMENT = 1 << 17
 #: Bits per document, and the limits of a filter: 128 KB and 32 MB.
 BITS_PER_DOC, LEAST_BITS, MOST_BITS = 128, 1 << 20, 1 << 28
+#: Common lines that a task holds; about 200 bytes each with their place.
+HELD = 100_000
 
 
 def line_key(line):
@@ -58,8 +63,18 @@ def filter_bits(rows):
     return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, rows * BITS_PER_DOC - 1).bit_length()))
 
 
-def packed(filled):
-    return zlib.compress(np.packbits(filled).tobytes(), 1)
+def put(bits, at):
+    """Set the bits at positions ``at``; eight to a byte."""
+    np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+
+
+def held(bits, at):
+    """Whether all bits of a row of positions are set."""
+    return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool).all(axis=1)
+
+
+def packed(bits):
+    return zlib.compress(bits.tobytes(), 1)
 
 
 def unpacked(data):
@@ -68,18 +83,19 @@ def unpacked(data):
 
 def twice_seen(docs, text, bits, min_chars):
     """The second filter over all documents: one byte per eight bits."""
+    wide = min(SEGMENT, bits) // 8
+
     def mark(batches):
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
             keys = [k for t in as_bytes(batch.column(0)) for k in keys_of(t, min_chars)]
             found, n = np.unique(hashes_of(keys), return_counts=True)
             at = probes(found, bits)
-            again = (n > 1) | once[at].all(axis=1)
-            twice[at[again].ravel()] = True
-            once[at.ravel()] = True
-        used = np.flatnonzero(once.reshape(-1, min(SEGMENT, bits)).any(axis=1))
+            put(twice, at[(n > 1) | held(once, at)].ravel())
+            put(once, at.ravel())
+        used = np.flatnonzero(once.reshape(-1, wide).any(axis=1))
         for i in used:
-            part = slice(i * SEGMENT, (i + 1) * SEGMENT)
+            part = slice(i * wide, (i + 1) * wide)
             yield pa.RecordBatch.from_arrays([
                 pa.array([i], pa.int32()), pa.array([packed(once[part])], pa.binary()),
                 pa.array([packed(twice[part])], pa.binary())], names=["segment", "once", "twice"])
@@ -103,92 +119,120 @@ def twice_seen(docs, text, bits, min_chars):
     marks = docs.select(quoted(text)).mapInArrow(mark, "segment int, once binary, twice binary")
     merged = marks.groupBy("segment").applyInArrow(meet, "segment int, twice binary")
     whole = np.zeros(bits // 8, np.uint8)
-    wide = min(SEGMENT, bits) // 8
     for row in merged.toLocalIterator():
         whole[row["segment"] * wide:(row["segment"] + 1) * wide] = unpacked(row["twice"])
     return whole
 
 
-def suspects(docs, id_col, text, min_chars):
-    """One row per document and suspected key: the document's id and digest, the key's digest."""
+def suspects(docs, place, id_col, text, min_chars):
+    """One row per document and suspected key: the document's id and place, the key's digest."""
     spark = docs.sparkSession
     bits = filter_bits(docs.count())
     seen = spark.sparkContext.broadcast(twice_seen(docs, text, bits, min_chars))
 
     def pick(batches):
-        twice = np.unpackbits(seen.value).view(bool)
         for batch in batches:
             row, keys = [], []
-            texts = as_bytes(batch.column(1))
-            for i, t in enumerate(texts):
+            for i, t in enumerate(as_bytes(batch.column(2))):
                 mine = keys_of(t, min_chars)
                 keys += mine
                 row += [i] * len(mine)
-            hit = np.flatnonzero(twice[probes(hashes_of(keys), bits)].all(axis=1))
-            row = np.array(row, np.int64)[hit]
-            digests = {i: hashlib.md5(texts[i] or b"").hexdigest() for i in set(row.tolist())}
+            hit = np.flatnonzero(held(seen.value, probes(hashes_of(keys), bits)))
+            row = pa.array(np.array(row, np.int64)[hit])
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(row)),
-                pa.array([digests[i] for i in row.tolist()], pa.string()),
+                batch.column(0).take(row), batch.column(1).take(row),
                 pa.array([hashlib.md5(keys[j]).digest() for j in hit.tolist()], pa.binary()),
-            ], names=["id", "digest", "key"])
+            ], names=["id", "place", "key"])
 
-    given = docs.select(quoted(id_col).alias("id"), quoted(text).cast("string").alias("text"))
-    schema = T.StructType([given.schema["id"], T.StructField("digest", T.StringType()),
-                           T.StructField("key", T.BinaryType())])
+    given = docs.select(quoted(id_col).alias("id"), quoted(place).alias("place"),
+                        quoted(text).cast("string").alias("text"))
+    schema = T.StructType([*given.schema.fields[:2], T.StructField("key", T.BinaryType())])
     return materialize(given.mapInArrow(pick, schema), "line-suspects")
 
 
-def dropped_keys(found, min_docs):
-    """Per document with any: digests of the keys it loses; ``own_first`` where it is first."""
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
-    common = few(materialize(found.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("first")
-    ).filter(F.col("n") >= min_docs).select("key", "first"), "common-lines"))
+def rank():
+    return F.struct(F.col("id").isNull().alias("no_id"), "id", "place")
+
+
+def common_lines(found, min_docs):
+    """key and first: the first document, by id and place, that has it."""
+    return materialize(found.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(rank()).alias("first")
+    ).filter(F.col("n") >= min_docs).select("key", "first"), "common-lines")
+
+
+def losses(found, common):
+    """Per document with any: digests of the keys it loses, and whether it is their first."""
     lost = found.join(common, "key").select(
-        "id", "digest", F.struct("key", (place == F.col("first")).alias("first")).alias("loss"))
-    return lost.groupBy("id", "digest").agg(F.collect_set("loss").alias("losses"))
+        F.col("place").alias("lost_place"),
+        F.struct("key", (rank() == F.col("first")).alias("first")).alias("loss"))
+    return lost.groupBy("lost_place").agg(F.collect_set("loss").alias("losses"))
+
+
+def kept_lines(text, lost, first, min_chars):
+    """Number of lines, and the lines that stay: those whose key's digest is not in ``lost``,
+    and of a key in ``first`` the first one."""
+    lines, stay, met = text.split(b"\n"), [], set()
+    for line in lines:
+        key = line_key(line)
+        digest = hashlib.md5(key).digest() if len(key) >= min(1, min_chars) else None
+        if digest not in lost or (digest in first and digest not in met):
+            stay.append(line)
+        met.add(digest)
+    return len(lines), stay
 
 
 def rewritten(docs, keep, id_col, text, min_chars, min_docs, keep_first):
     """``keep`` by position, n_lines, n_dropped and the text that stays (as ``kept``)."""
-    lost = dropped_keys(suspects(docs, id_col, text, min_chars), min_docs).select(
-        F.col("id").alias("lost_id"), F.col("digest").alias("lost_digest"),
-        F.col("losses.key").alias("keys"), F.col("losses.first").alias("firsts"))
+    place = unused(docs, "place")
+    docs = identified(docs, place)
+    found = suspects(docs, place, id_col, text, min_chars)
+    common = common_lines(found, min_docs)
     names = [f"c{i}" for i in range(len(keep))]
     given = docs.select(
-        *[quoted(c).alias(n) for c, n in zip(keep, names)],
-        quoted(id_col).alias("id"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
-    same = F.col("id").eqNullSafe(F.col("lost_id")) & (F.md5("text") == F.col("lost_digest"))
-    joined = given.join(lost, same, "left").select(*names, "text", "keys", "firsts")
+        *[quoted(c).alias(n) for c, n in zip(keep, names)], quoted(place).alias("place"),
+        F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
+    few = common.count() <= HELD
+    if few:
+        digests = docs.sparkSession.sparkContext.broadcast(
+            {bytes(r["key"]): tuple(r["first"]["place"]) for r in common.collect()})
+        joined = given.withColumn("losses", F.lit(None).cast("string"))
+    else:
+        lost = losses(found, common)
+        joined = given.join(lost, F.col("place") == F.col("lost_place"), "left").drop("lost_place")
     schema = T.StructType([*joined.schema.fields[:len(keep)],
                            T.StructField("n_lines", T.LongType()),
                            T.StructField("n_dropped", T.LongType()),
                            T.StructField("kept", T.StringType())])
 
+    def choices(batch):
+        """For every row the digests that lose lines, and those whose first line may stay."""
+        if few:
+            for at in batch.column("place").to_pylist():
+                yield digests.value, mine.get(tuple(at.values()), ()) if keep_first else ()
+            return
+        for own in batch.column("losses").to_pylist():
+            yield ({x["key"] for x in own or ()},
+                   {x["key"] for x in own or () if x["first"]} if keep_first else ())
+
+    mine = {}
+
     def write(batches):
+        if few and keep_first:
+            for digest, at in digests.value.items():
+                mine.setdefault(at, []).append(digest)
         for batch in batches:
             n_lines, n_dropped, kept = [], [], []
-            for t, keys, firsts in zip(as_bytes(batch.column("text")),
-                                       batch.column("keys").to_pylist(),
-                                       batch.column("firsts").to_pylist()):
-                if keys is None:
+            for t, (lost, first) in zip(as_bytes(batch.column("text")), choices(batch)):
+                if lost:
+                    n, stay = kept_lines(t, lost, first, min_chars)
+                    n_lines.append(n)
+                    n_dropped.append(n - len(stay))
+                    kept.append(b"\n".join(stay))
+                else:
                     n_lines.append(t.count(b"\n") + 1)
                     n_dropped.append(0)
                     kept.append(t)
-                    continue
-                lines, spared = t.split(b"\n"), {k: f and keep_first for k, f in zip(keys, firsts)}
-                stay = []
-                for line in lines:
-                    key = line_key(line)
-                    digest = hashlib.md5(key).digest() if len(key) >= min(1, min_chars) else None
-                    if digest not in spared or spared[digest]:
-                        stay.append(line)
-                        if digest in spared:
-                            spared[digest] = False
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(stay))
-                kept.append(b"\n".join(stay))
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:len(keep)], pa.array(n_lines, pa.int64()),
                 pa.array(n_dropped, pa.int64()),

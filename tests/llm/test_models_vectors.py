@@ -135,6 +135,15 @@ def test_languages_of_awkward_documents(spark):
     assert {r["lang_pred"] for r in bare.collect()} == {"und"}
 
 
+def test_signs_and_numerals_are_no_letters(spark):
+    texts = ["²½ 12 ±", "①②", "Ⅷ", "ª", "ʰ", "日本", "x1"]
+    docs = spark.createDataFrame(
+        [document(i, t) for i, t in enumerate(texts)]
+        + [document(100 + i, "plain words here") for i in range(20)], DOCS)
+    rows = {r["doc_id"]: r["lang_pred"] for r in langid.languages(docs, steps=5).collect()}
+    assert [rows[i] for i in range(len(texts))] == ["und"] * 3 + ["en"] * 4
+
+
 def test_every_label_is_in_the_sample(spark):
     """A label of a small share, too, in a table where another has nearly all rows."""
     docs = spark.createDataFrame(

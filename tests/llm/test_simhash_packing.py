@@ -126,6 +126,20 @@ def test_one_copy_of_a_clean_text_keeps_its_lines(spark):
     assert all(kept[100 * g] == t for g, t in enumerate(groups))
 
 
+@pytest.mark.parametrize("held", [lines.HELD, 0])
+def test_of_equal_rows_the_first_keeps_its_lines(spark, monkeypatch, held):
+    monkeypatch.setattr(lines, "HELD", held)
+    common = plain(30, "common")
+    rows = [document(i, f"{common}\nown {k}\n{common}") for i, k in [(5, 0)] * 12 + [(9, 9)]]
+    rows += [document(7, "clean"), document(8, None)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    kept = Counter(r["text"] for r in lines.without_common_lines(docs, keep_first=True).collect())
+    assert kept == {f"{common}": 1, "": 11, "own 9": 1, "clean": 1, None: 1} or kept == {
+        f"{common}\nown 0": 1, "": 11, "own 9": 1, "clean": 1, None: 1}
+    made = Counter(r["n_dropped"] for r in lines.line_report(docs).collect())
+    assert made == {3: 12, 2: 1, 0: 2}
+
+
 def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -231,8 +245,18 @@ def test_sequences_hold_the_ids(spark):
     whole = tokenizer()
     ids = sorted(t for i in range(60) for t in [*whole.encode(plain(9 * i)).ids, 2])
     assert sorted(t for r in made for t in r["ids"]) == ids
-    assert all(len(r["ids"]) <= 1024 and r["ids"][-1] == 2 or len(r["ids"]) == 1024 for r in made)
-    assert {i for r in made for i in r["doc_ids"]} == set(range(60))
+    pieces = defaultdict(list)  # of each document, as ids
+    for i in range(60):
+        own = [*whole.encode(plain(9 * i)).ids, 2]
+        pieces[i] = [own[a:a + n] for a, n in zip(*packing.cut(len(own), 1024))]
+    for r in made:
+        at = 0
+        for i in r["doc_ids"]:
+            piece = next(p for p in pieces[i] if r["ids"][at:at + len(p)] == p)
+            pieces[i].remove(piece)
+            at += len(piece)
+        assert at == len(r["ids"]) <= 1024
+    assert not any(pieces.values())
 
 
 @pytest.mark.parametrize("which", ["small", "awkward"])
@@ -247,8 +271,13 @@ def test_pipeline_by_hand(spark, tmp_path, which):
     keys = [[lower(x.strip(b" \t\n\x0b\x0c\r")) for x in r["text"].encode().split(b"\n")]
             for r in good]
     seen = Counter(k for own in keys for k in set(own) if k)
-    for r, own in zip(good, keys):
-        stay = [x for x, k in zip(r["text"].encode().split(b"\n"), own) if seen[k] < 10 or not k]
+    met = set()  # the first line of a common key stays, in the document of smallest id
+    for r, own in sorted(zip(good, keys), key=lambda x: (x[0]["doc_id"] is None, x[0]["doc_id"] or 0)):
+        stay = []
+        for x, k in zip(r["text"].encode().split(b"\n"), own):
+            if seen[k] < 10 or not k or k not in met:
+                stay.append(x)
+            met.add(k)
         r["text"] = b"\n".join(stay).decode()
     prints = [(r["doc_id"], by_hand(r["text"])) for r in good]
     label = groups_by_hand({p for _, p in prints})
