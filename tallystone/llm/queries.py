@@ -1,7 +1,7 @@
 """One query per operator, over its whole table, with production parameters."""
 
 from .common import table
-from . import host_rules, langid, lines, mixing, ngrams, packing, simhash, toxicity, vectors, warc
+from . import host_rules, langid, lines, merkle, mixing, ngrams, packing, simhash, toxicity, vectors, warc
 
 
 def documents(spark, folder):
@@ -20,6 +20,7 @@ QUERIES = {
     "op8_line_dedup": lambda spark, d: lines.line_report(documents(spark, d)),
     "op9_mixing": lambda spark, d: mixing.mixed_sizes(documents(spark, d)),
     "op10_language": lambda spark, d: langid.languages(documents(spark, d)),
+    "op12_merkle": lambda spark, d: merkle.tamper_report(documents(spark, d)),
 }
 
 ORACLES = {
@@ -27,4 +28,5 @@ ORACLES = {
     "op6_host_rules": host_rules.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op12_merkle": merkle.ORACLE,
 }
