@@ -1,7 +1,10 @@
 """One query per operator, over its whole table, with production parameters."""
 
 from .common import table
-from . import host_rules, langid, lines, merkle, mixing, ngrams, packing, simhash, toxicity, vectors, warc
+from . import (
+    host_rules, langid, lines, merkle, mixing, ngrams, packing, sentencepieces, simhash,
+    toxicity, vectors, warc,
+)
 
 
 def documents(spark, folder):
@@ -21,6 +24,7 @@ QUERIES = {
     "op9_mixing": lambda spark, d: mixing.mixed_sizes(documents(spark, d)),
     "op10_language": lambda spark, d: langid.languages(documents(spark, d)),
     "op12_merkle": lambda spark, d: merkle.tamper_report(documents(spark, d)),
+    "op13_sentencepieces": lambda spark, d: sentencepieces.round_trip(documents(spark, d)),
 }
 
 ORACLES = {
