@@ -2,7 +2,7 @@
 
 from .common import table
 from . import (
-    host_rules, langid, lines, merkle, mixing, ngrams, packing, sentencepieces, simhash,
+    host_rules, langid, lines, merkle, mixing, ngrams, packing, prefixes, sentencepieces, simhash,
     toxicity, vectors, warc,
 )
 
@@ -23,6 +23,7 @@ QUERIES = {
     "op8_line_dedup": lambda spark, d: lines.line_report(documents(spark, d)),
     "op9_mixing": lambda spark, d: mixing.mixed_sizes(documents(spark, d)),
     "op10_language": lambda spark, d: langid.languages(documents(spark, d)),
+    "op11_prefix_trie": lambda spark, d: prefixes.spliced_trie(table(spark, d, "conversations")),
     "op12_merkle": lambda spark, d: merkle.tamper_report(documents(spark, d)),
     "op13_sentencepieces": lambda spark, d: sentencepieces.round_trip(documents(spark, d)),
 }
@@ -32,5 +33,6 @@ ORACLES = {
     "op6_host_rules": host_rules.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op11_prefix_trie": prefixes.ORACLE,
     "op12_merkle": merkle.ORACLE,
 }
