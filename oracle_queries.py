@@ -592,6 +592,10 @@ def oracle():
             where duplicate_ind or conflict_ind or parse_fail_ind
             union all select 2, {AUDIT_COUNTS} from ({flagged('delta')})
             where duplicate_ind or conflict_ind or parse_fail_ind""",
+        "audit_listing": " union all ".join(f"""select {run} as run, transaction_id, record_number,
+            duplicate_ind, conflict_ind, parse_fail_ind, parse_fail_fields from ({flagged(source)})
+            where duplicate_ind or conflict_ind or parse_fail_ind"""
+            for run, source in ((1, "led"), (2, "delta"))),
         "crm_files": f"select {', '.join(CRM_FIELDS)}, true as traced from raw_crm",
         "facility_files": f"select {', '.join(FACILITY_FIELDS)}, true as traced from raw_fac",
         "intake_to_fact": f"""select 'API-' || md5(request_id) as transaction_id,
@@ -741,4 +745,7 @@ def oracle():
             and facility_id in (select facility_id from dim where status = 'CLOSED')
             group by 1""",
     }
+    # the same rows, reached in another way
+    sql |= {"raw_feed_fact": sql["stream_fact"], "raw_feed_runs": sql["stream_run_summary"],
+            "nfe_movement_as_of": sql["nfe_movement"]}
     return {name: q(text) for name, text in sql.items()}
