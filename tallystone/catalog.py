@@ -47,19 +47,19 @@ class Book:
 
     @cached_property
     def crm(self):
-        return demo.crm_raw(self.spark, self.sf_dir)
+        return stored_raw(self, "crm", demo.crm_raw)
 
     @cached_property
     def fac(self):
-        return demo.facility_raw(self.spark, self.sf_dir)
+        return stored_raw(self, "fac", demo.facility_raw)
 
     @cached_property
     def led(self):
-        return demo.ledger_raw(self.spark, self.sf_dir)
+        return stored_raw(self, "led", demo.ledger_raw)
 
     @cached_property
     def delta(self):
-        return demo.ledger_delta(self.spark, self.sf_dir)
+        return stored_raw(self, "delta", demo.ledger_delta)
 
     @cached_property
     def requests(self):
@@ -106,6 +106,21 @@ class Book:
                 self.fac.filter("file_name = 'facilities_0.csv'"))
 
 
+_raw = {}
+
+
+def stored_raw(book, name, export):
+    """A raw table, loaded when a session first asks for it: RAW is stored, and read often."""
+    place = (book.spark.sparkContext.applicationId, book.sf_dir, name)
+    if place not in _raw:
+        rows = export(book.spark, book.sf_dir)
+        folder = shared_dir(book.spark, f"raw-{name}")
+        rows.hint("rebalance").write.parquet(folder)
+        _raw[place] = (folder, rows.schema)
+    folder, schema = _raw[place]
+    return book.spark.read.schema(schema).parquet(folder)
+
+
 _published = {}
 
 

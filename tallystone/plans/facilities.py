@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import any_date, currency, is_blank, rate, row_hash, status_code, surrogate_key
 from ..functions.keys import failed_fields
 from ..model import FACILITY, FACILITY_RAW
-from ..operators.conflicts import collapse_copies
+from ..operators.conflicts import apart, collapse_apart
 from ..operators.numbering import number_copies
 from ..operators.skew import salted_lookup
 from .organizations import organization_key
@@ -55,7 +55,7 @@ def _unreadable():
 def facility_conflicts(facility_raw):
     """One row per facility with the agreed values and the fields its copies differ on."""
     identified = parse_facilities(facility_raw).filter(~is_blank(F.col("facility_id")))
-    return collapse_copies(identified, ["facility_id"], ATTRIBUTES)
+    return collapse_apart(apart(identified, "facility_id"), ["facility_id"], ATTRIBUTES)
 
 
 def facilities(facility_raw):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import accounting_amount, is_blank, ledger_date, row_hash, surrogate_key
 from ..functions.keys import failed_fields
 from ..model import LEDGER_RAW, NULL_MARK, TRANSACTION
-from ..operators.conflicts import collapse_copies, newest_only
+from ..operators.conflicts import apart, collapse_apart, collapse_copies, newest_only
 from ..operators.numbering import number_copies
 from ..operators.skew import salted_lookup
 
@@ -52,13 +52,19 @@ def with_id_key(parsed):
     return parsed.withColumn("id_key", F.coalesce("transaction_id", F.lit(NULL_MARK)))
 
 
-def agreed_by_id(parsed, delivery):
+READABLE = "not parse_fail_ind"
+
+
+def by_copies(parsed):
+    """Parsed rows taken apart: those whose id is the only one of its kind, and the others."""
+    return apart(with_id_key(parsed), "id_key")
+
+
+def agreed_by_id(parsed, delivery, copies=None):
     """Agreed values and conflict flags per transaction id, blank ids together."""
-    keyed = with_id_key(parsed)
-    readable = "not parse_fail_ind"
     if delivery is None:
-        return collapse_copies(keyed, ["id_key"], FIELDS, readable)
-    per_delivery = collapse_copies(keyed, ["id_key", delivery], FIELDS, readable)
+        return collapse_apart(copies or by_copies(parsed), ["id_key"], FIELDS, READABLE)
+    per_delivery = collapse_copies(with_id_key(parsed), ["id_key", delivery], FIELDS, READABLE)
     # a delivery with no readable copy of an id has nothing to say about it
     speaking = per_delivery.withColumn(
         delivery, F.when(F.col("usable_copies") > 0, F.col(delivery))
@@ -66,56 +72,64 @@ def agreed_by_id(parsed, delivery):
     return newest_only(speaking, "id_key", delivery)
 
 
-def readable_by_id(parsed, delivery=None):
+def readable_by_id(parsed, delivery=None, copies=None):
     """The ids with at least one readable copy.
 
     Filtering after the aggregate spares the rows a second parse: a filter on parsed
     columns would be pushed down to the texts and parse them again.
     """
-    return agreed_by_id(parsed, delivery).filter("usable_copies > 0")
+    return agreed_by_id(parsed, delivery, copies).filter("usable_copies > 0")
+
+
+FLAGS = [f"{f}_conflict_ind" for f in FIELDS]
 
 
-def _flagged(parsed, delivery):
-    """All rows, each with its duplicate flag and the six conflict flags."""
-    groups = agreed_by_id(parsed, delivery)
+def _flagged(copies):
+    """The rows of repeated ids, each with its copy number, duplicate and conflict flags."""
+    rows = copies.repeated
+    groups = collapse_copies(rows, ["id_key"], FIELDS, READABLE)
     sizes = groups.select("id_key", F.col("copies").alias("rows"))
-    flags = [f"{f}_conflict_ind" for f in FIELDS]
-    repeated = groups.filter("copies > 1").select(
-        "id_key", F.lit(True).alias("duplicate_ind"), *flags, "conflict_ind"
+    found = groups.filter("copies > 1").select(
+        "id_key", F.lit(True).alias("duplicate_ind"), *FLAGS, "conflict_ind"
     )
-    keyed = with_id_key(parsed)
-    joined = salted_lookup(
-        keyed, repeated, ["id_key"], ["file_name", "file_row_number"], sizes
-    )
-    return joined.fillna(False, ["duplicate_ind", *flags, "conflict_ind"])
+    joined = salted_lookup(rows, found, ["id_key"], ["file_name", "file_row_number"], sizes)
+    flagged = joined.fillna(False, ["duplicate_ind", *FLAGS, "conflict_ind"])
+    counted = rows.select("id_key", "file_name", "file_row_number")
+    return number_copies(flagged, "id_key", counted=counted)
+
 
+def _unflagged(rows):
+    """Rows of ids that occur once, with the same columns."""
+    return rows.withColumns({
+        **{c: F.lit(False) for c in ("duplicate_ind", *FLAGS, "conflict_ind")},
+        "record_number": F.lit(1).cast("long"),
+    })
 
-def flag_transactions(parsed, delivery=None):
+
+def flag_transactions(parsed, copies=None):
     """All rows, each with its copy number, duplicate flag and the six conflict flags."""
-    counted = with_id_key(parsed).select("id_key", "file_name", "file_row_number")
-    flagged = _flagged(parsed, delivery)
-    return number_copies(flagged, "id_key", counted=counted).drop("id_key")
+    copies = copies or by_copies(parsed)
+    return _unflagged(copies.single).unionByName(_flagged(copies)).drop("id_key")
 
 
-def resolve_transactions(parsed, delivery=None):
+def resolve_transactions(parsed, delivery=None, copies=None):
     """Staging table: one row per id; disputed fields NULL; unreadable copies held out.
 
     ``delivery`` names the column that tells deliveries of one batch apart, if any.
     """
-    resolved = readable_by_id(parsed, delivery).withColumnRenamed("id_key", "transaction_id")
+    resolved = readable_by_id(parsed, delivery, copies).withColumnRenamed(
+        "id_key", "transaction_id")
     return resolved.withColumn("transaction_sk", surrogate_key(F.col("transaction_id"))).select(
         *TRANSACTION.fieldNames()
     )
 
 
-def audit_transactions(parsed, run_ts, delivery=None):
+def audit_transactions(parsed, run_ts, copies=None):
     """Duplicates, conflicts and unreadable rows, as delivered, with the reasons."""
+    copies = copies or by_copies(parsed)
     suspect = F.col("duplicate_ind") | F.col("conflict_ind") | F.col("parse_fail_ind")
-    # a repeated id has all its copies listed, so block sizes may come from the raw rows
-    counted = with_id_key(parsed).select("id_key", "file_name", "file_row_number")
-    listed = number_copies(
-        _flagged(parsed, delivery).filter(suspect), "id_key", counted=counted
-    )
+    listed = _unflagged(copies.single.filter("parse_fail_ind")).unionByName(
+        _flagged(copies).filter(suspect))
     as_delivered = {"transaction_date": "transaction_date_raw", "amount": "amount_raw"}
     return listed.select(
         *[F.col(as_delivered.get(c, c)).alias(c) for c in LEDGER_RAW.fieldNames()],
