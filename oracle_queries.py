@@ -371,6 +371,7 @@ def quality_log():
         "fac_orphans": "select count(*) from dim where organization_sk is null or organization_sk "
                        "not in (select organization_sk from borrower)",
         "txn_key": "select count(*) from raw_led",
+        "txn_facility_key": "select count(investment_ref) from raw_led",
         "txn_date": "select count(transaction_date) from raw_led",
         "txn_amount": "select count(*) from raw_led where amount like '(%'",
         "txn_alias": "select count(*) from led where fund <> fund_description",
@@ -381,6 +382,10 @@ def quality_log():
                                f"{disputed('amount')} from led where parse_fail_fields = '' "
                                f"group by 1) where amount_conflict_ind",
         "txn_bad": "select count(*) from led where parse_fail_fields <> ''",
+        "txn_resent": "select count(*) from staged_delta where transaction_id in "
+                      "(select transaction_id from fact)",
+        "fact_fund": "select count(*) from staged s join stated f on f.facility_id = s.facility_id "
+                     "where s.fund_description <> f.fund_description",
         "dim_balance": "select count(*) from dim d join stated s using (facility_id) "
                        "where d.net_funds_employed is distinct from s.net_funds_employed",
         "fact_orphans": "select count(*) from fact where not known_facility_ind",

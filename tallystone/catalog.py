@@ -477,7 +477,8 @@ def row_conservation(b):
 
 
 def dq_log(b):
-    return quality.quality_log(b.crm, b.fac, b.led, b.marts, facilities(b.fac), demo.ALIASES)
+    return quality.quality_log(b.crm, b.fac, b.led, b.marts, facilities(b.fac), demo.ALIASES,
+                               b.delta)
 
 
 def ri_check(b):

@@ -68,6 +68,9 @@ RULES = {
                     "Kept, shown without a borrower"),
     "txn_key": ("STAGING", "INT_TRANSACTION", None, "MISSING-SURROGATE-KEY",
                 "Ledger rows without a surrogate key", "The transaction id is hashed"),
+    "txn_facility_key": ("STAGING", "INT_TRANSACTION", None, "MISSING-SURROGATE-FOREIGN-KEY",
+                         "Ledger rows that cite their facility by an id of no fixed form",
+                         "The cited id is hashed into the facility key"),
     "txn_date": ("STAGING", "INT_TRANSACTION", "TRANSACTION_DATE", "ENFORCE-TYPE",
                  "Dates held as text", "Parsed to dates"),
     "txn_amount": ("STAGING", "INT_TRANSACTION", "AMOUNT", "ENFORCE-TYPE",
@@ -84,6 +87,12 @@ RULES = {
     "txn_bad": ("STAGING", "AUDIT_TRANSACTION", None, "UNPARSEABLE-VALUES",
                 "Ledger rows with an unreadable or missing value",
                 "Held out of the fact, audited with the fields at fault"),
+    "txn_resent": ("STAGING", "AUDIT_TRANSACTION", None, "DUPLICATES - CROSS-BATCH",
+                   "Transactions that a later delivery sends again",
+                   "The same values change nothing; other values correct the earlier ones"),
+    "fact_fund": ("MARTS", "FACT_TRANSACTION", "FUND_DESCRIPTION", "DATA CONFLICT",
+                  "Transactions whose fund the ledger names otherwise than the servicing system",
+                  "The servicing system's name is used"),
     "dim_balance": ("MARTS", "DIM_FACILITY", "NET_FUNDS_EMPLOYED", "DATA CONFLICT",
                     "Facilities whose stated balance differs from the ledger",
                     "The ledger balance is used"),
@@ -102,8 +111,9 @@ def _as_rules(counts):
     return counts.unpivot([], counts.columns, "rule", "affected_rows")
 
 
-def measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases):
-    """How many rows each rule concerns. ``stated`` is the facility staging table."""
+def measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases, later_raw):
+    """How many rows each rule concerns. ``stated`` is the facility staging table, ``later_raw``
+    the delivery after the one that the marts hold."""
     crm = parse_crm(crm_raw).agg(
         (F.count("match_key") - F.countDistinct("match_key")).alias("org_copies"),
         F.count("*").alias("org_key"),
@@ -137,15 +147,29 @@ def measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases):
     parsed = parse_transactions(ledger_raw, aliases)
     rows = parsed.agg(
         F.count("*").alias("txn_key"),
+        F.count("investment_ref").alias("txn_facility_key"),
         F.count("transaction_date_raw").alias("txn_date"),
         F.count_if(F.startswith(F.col("amount_raw"), F.lit("("))).alias("txn_amount"),
         F.count_if(F.col("fund") != F.col("fund_description")).alias("txn_alias"),
         F.count_if("parse_fail_ind").alias("txn_bad"),
     )
-    by_id = readable_by_id(parsed).agg(
+    agreed = readable_by_id(parsed)
+    by_id = agreed.agg(
         F.count_if("fund_description_conflict_ind").alias("txn_fund_conflict"),
         F.count_if("amount_conflict_ind").alias("txn_amount_conflict"),
     )
+    # names are few, so cited facilities are counted by name before they meet their facility
+    named = agreed.groupBy("facility_id", "fund_description").agg(F.count("*").alias("n"))
+    funds = current_members(marts.facility).select(
+        "facility_id", F.col("fund_description").alias("servicing_fund"))
+    renamed = named.join(funds, "facility_id").agg(F.coalesce(F.sum(F.when(
+        F.col("fund_description") != F.col("servicing_fund"), F.col("n"))), F.lit(0))
+        .alias("fact_fund"))
+    # an id counts once however often it comes, so only distinct ids meet
+    later = readable_by_id(parse_transactions(later_raw, aliases)).select(
+        F.col("id_key").alias("transaction_id"))
+    resent = later.join(marts.fact.select("transaction_id"), "transaction_id", "left_semi").agg(
+        F.count("*").alias("txn_resent"))
     borrowers = current_borrowers(marts.organization).agg(
         F.count_if(F.col("source_system") == FROM_SERVICING).alias("org_servicing")
     )
@@ -166,15 +190,18 @@ def measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases):
     closed = received.join(
         known.filter("status = 'CLOSED'").select("facility_id"), "facility_id"
     ).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("fact_closed"))
-    parts = [crm, records, copies, rows, by_id, borrowers, fac_orphans, balances, fact, closed]
+    parts = [crm, records, copies, rows, by_id, renamed, resent, borrowers, fac_orphans, balances,
+             fact, closed]
     measured = _as_rules(parts[0])
     for part in parts[1:]:
         measured = measured.unionByName(_as_rules(part))
     return measured
 
 
-def quality_log(crm_raw, facility_raw, ledger_raw, marts, stated, aliases=None):
-    """The rule catalogue with the number of rows each rule concerns in this load."""
+def quality_log(crm_raw, facility_raw, ledger_raw, marts, stated, aliases=None, later_raw=None):
+    """The rule catalogue with the number of rows each rule concerns in this load, and of
+    transactions that the next delivery, if any, sends again."""
+    later_raw = ledger_raw.limit(0) if later_raw is None else later_raw
     spark = ledger_raw.sparkSession
     catalogue = spark.createDataFrame(
         [(rule, "TABLE", *entry) for rule, entry in RULES.items()],
@@ -182,7 +209,8 @@ def quality_log(crm_raw, facility_raw, ledger_raw, marts, stated, aliases=None):
         "field_name string, issue_type string, issue_description string, "
         "issue_resolution string",
     )
-    measured = measure_rules(crm_raw, facility_raw, ledger_raw, marts, stated, aliases)
+    measured = measure_rules(
+        crm_raw, facility_raw, ledger_raw, marts, stated, aliases, later_raw)
     order = Window.orderBy(
         "object_schema", "object_name", F.coalesce("field_name", F.lit("~NULL~")),
         "issue_type", "rule",
