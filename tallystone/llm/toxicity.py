@@ -1,18 +1,23 @@
 """Toxicity of texts by a string-kernel support vector machine with Nyström landmarks.
 
-The kernel compares two short strings by the three-letter subsequences they share, with
-gaps: a subsequence counts ``DECAY`` to the power of the stretch it spans, so "i.d.iot" is
-still close to "idiot". A text is read as its stretches between white space, marked at both
-ends and seen through windows of ``WINDOW`` characters; letters spelled out one by one are
-also read as one stretch.
-
-Labels are of whole texts. Stretches that many toxic texts and hardly any clean one hold are
-the positive examples, stretches of clean texts the negative ones. The machine is a linear
-one (squared hinge loss) on the Nyström features of kernel values with the landmarks, which
-are examples of both kinds. Its value of a window, b + sum over landmarks of
-beta[m] * K(window, z[m]), is linear in the window's subsequences, so scoring adds up one
-weight per subsequence, which gives the same value. A text's value is its largest window's,
-mapped to a probability by logistic regression on the labelled texts.
+The kernel compares two windows by the three-letter subsequences they share, with gaps, if they
+span at most ``SPAN`` characters: a subsequence counts ``DECAY`` to the power of its span, so
+"i.d.iot" is still close to "idiot". A text is read as one lower-cased sentence in which every
+run of white space is one blank, a character like any other. Its windows are the stretches
+between blanks and the pairs of neighbouring ones, so phrases are seen across their blank, and
+in longer stretches the ``SPAN`` characters from every place on, so a language written without
+blanks is seen as well. Letters spelled out one by one are also read as one stretch.
+
+Labels are of whole sentences, so which window makes one toxic has to be found. At first it is
+the window, or in long stretches the run of ``RUN`` characters, that by counts over the sample
+speaks most for the label. Then the machine is trained on these windows against windows of
+clean texts, and for some rounds every toxic text's window is chosen anew as the one that the
+machine values most, while each clean text adds its own highest one. The machine is a linear one
+(squared hinge loss) on the Nyström features of kernel values with the landmarks, which are
+windows of both kinds. Its value of a window, b + sum over landmarks of beta[m] * K(window, z[m]),
+is linear in the window's subsequences, so scoring adds up one weight per subsequence, which
+gives the same value; sums over overlapping windows are shared. A text's value is its largest
+window's, mapped to a probability by logistic regression on the labelled texts.
 
 Defined cases: a null or empty text has the value of no window at all, a low score; rows
 repeated whole are scored alike; null labels are not learned from; without both labels to
@@ -22,7 +27,6 @@ learn from every score is 0; an empty table gives an empty result.
 import hashlib
 import re
 from collections import Counter
-from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,79 +36,68 @@ from pyspark.sql import functions as F, types as T
 from .common import (
     as_bytes, crc_bucket, map_texts, materialize, quoted, spread_sample,
 )
-from .tokens import Places
 
-WINDOW, DECAY, CODES = 10, 0.8, 64
-#: Bounds of the training sample: labelled texts per class, and examples per class.
-SAMPLE, POSITIVES, NEGATIVES, HARD, LANDMARKS = 4000, 400, 6000, 2000, 240
-#: Distinct stretches kept at once by a task, and stretches handled in one go.
-TABLE, PORTION = 400_000, 200_000
+SPAN, DECAY, CODES, BLANK, RUN = 10, 0.8, 64, 27, 6
+#: Characters of a window between blanks, both blanks included.
+LONGEST = 26
+#: Bounds of the training sample: labelled texts per class, windows that tell at first, and
+#: landmarks. In a round every text gives one window, clean ones three more at the start.
+SAMPLE, TELLING, LANDMARKS, ROUNDS = 4000, 4000, 300, 3
+#: Characters whose windows are summed in one go.
+PORTION = 200_000
 #: Hash functions of a signature, and the share of equal values that makes two texts near copies.
 FACTORS = np.random.default_rng(9).integers(1 << 62, 1 << 63, 64, np.uint64) | np.uint64(1)
 NEAR = 0.8
 SPELLED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
-
-TRIPLES = [(i, j, k, DECAY ** (k - i + 1)) for i, j, k in combinations(range(WINDOW), 3)]
+PAD = np.zeros(SPAN, np.int32)
 
 
 def stretches(text):
-    """Lower-cased stretches of a text (bytes or None), in order."""
-    if not text:
-        return []
-    plain = text.decode("utf-8", "replace").lower()
-    found = plain.split()
-    if SPELLED.search(plain):
-        found += [m[0].replace(" ", "") for m in SPELLED.finditer(plain)]
-    return found
+    """Lower-cased stretches of a text (bytes or None) between white space."""
+    return text.decode("utf-8", "replace").lower().split() if text else []
+
+
+def sentence(text):
+    """A text (bytes or None) as it is read: one blank before, between and behind stretches."""
+    parts = stretches(text)
+    if not parts:
+        return ""
+    plain = " ".join(parts)
+    parts += [m[0].replace(" ", "") for m in SPELLED.finditer(plain)]
+    return f" {' '.join(parts)} "
 
 
-def letter_codes(points):
-    """Codes 1 to 63 of code points; a to z and the two marks have their own."""
-    codes = 29 + points % 35
+def letter_codes(text):
+    """Codes 1 to 63 of characters; a to z and the blank have their own."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    codes = 28 + points % 36
     latin = (points >= 97) & (points <= 122)
     codes[latin] = points[latin] - 96
-    codes[points == 94] = 27
-    codes[points == 36] = 28
+    codes[points == 32] = BLANK
     return codes.astype(np.int32)
 
 
-def windows(texts):
-    """Codes (window, position), 0 past the end, of marked strings; and each one's first window."""
-    marked = "".join(chain.from_iterable(("^", t, "$") for t in texts))
-    points = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    codes = np.concatenate([letter_codes(points), np.zeros(WINDOW, np.int32)])
-    length = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
-    count = np.maximum(1, length - WINDOW + 1)
-    first = np.concatenate([[0], np.cumsum(count)])
-    start = np.concatenate([[0], np.cumsum(length)[:-1]])
-    shift = np.arange(first[-1]) - np.repeat(first[:-1], count)
-    at = np.repeat(start, count) + shift
-    seen = codes[at[:, None] + np.arange(WINDOW)]
-    seen[np.arange(WINDOW) >= np.minimum(np.repeat(length, count), WINDOW)[:, None]] = 0
-    return seen, first[:-1]
+def triples(size):
+    return [(s, j, k, DECAY ** (k - s + 1)) for s in range(size)
+            for k in range(s + 2, min(size, s + SPAN)) for j in range(s + 1, k)]
 
 
 #: Root of the kernel of a window of so many characters with itself, if none repeats.
-NORMS = np.array([1.0] * 3 + [np.sqrt(sum(w * w for *_, k, w in TRIPLES if k < n))
-                              for n in range(3, WINDOW + 1)], np.float32)
-
+NORMS = np.array([1.0 if n < 3 else np.sqrt(sum(w * w for *_, w in triples(n)))
+                  for n in range(LONGEST + 1)])
+_triples = {}
 
-def weighted_sums(seen, weights):
-    """Sum over a window's subsequences of their weights, by the window's own norm."""
-    high, mid, low = seen.T << 12, seen.T << 6, seen.T
-    total = np.zeros(len(seen), np.float32)
-    for i, j, k, w in TRIPLES:
-        total += np.float32(w) * weights[high[i] | mid[j] | low[k]]
-    total /= NORMS[(seen > 0).sum(axis=1)]
-    return total
 
-
-def subsequences(seen):
-    """Numbers and normalized weights of the subsequences of one window."""
-    inside = [(seen[i] << 12 | seen[j] << 6 | seen[k], w) for i, j, k, w in TRIPLES if seen[k]]
-    numbers, at = np.unique(np.array([n for n, _ in inside], np.int64), return_inverse=True)
-    weights = np.bincount(at, [w for _, w in inside], len(numbers))
-    return numbers, (weights / NORMS[(seen > 0).sum()]).astype(np.float32)
+def subsequences(window):
+    """Numbers and normalized weights of the subsequences of one window of codes."""
+    size = len(window)
+    if size not in _triples:
+        _triples[size] = np.array(triples(size)).reshape(-1, 4)
+    s, j, k = _triples[size][:, :3].T.astype(np.int64)
+    codes = np.asarray(window, np.int64)
+    numbers, at = np.unique(codes[s] << 12 | codes[j] << 6 | codes[k], return_inverse=True)
+    weights = np.bincount(at, _triples[size][:, 3], len(numbers))
+    return numbers, (weights / NORMS[size]).astype(np.float32)
 
 
 def spread(numbers, weights):
@@ -114,26 +107,111 @@ def spread(numbers, weights):
     return vector
 
 
+def windows_of(codes, starts):
+    """First places and ends of all windows of sentences that begin at ``starts``, one behind
+    the other with ``PAD`` behind each."""
+    blanks = np.flatnonzero(codes == BLANK)
+    owner = np.searchsorted(starts, blanks, "right")
+    found = []
+    for step in (1, 2):
+        a, b = blanks[:-step], blanks[step:] + 1
+        whole = (owner[:-step] == owner[step:]) & (b - a <= LONGEST)
+        found.append((a[whole], b[whole]))
+    a, b = blanks[:-1] + 1, blanks[1:]
+    long = (owner[:-1] == owner[1:]) & (b - a > SPAN)
+    count = b[long] - a[long] - SPAN + 1
+    inside = np.repeat(a[long], count) + np.arange(count.sum()) - np.repeat(
+        np.cumsum(count) - count, count)
+    found.append((inside, inside + SPAN))
+    return [np.concatenate(x) for x in zip(*found)]
+
+
+def window_values(codes, starts, ends, weights):
+    """Sum of the weights of each window's subsequences, by its norm.
+
+    A window's subsequences are those between any two of its places not too far apart; for each
+    distance the sum over a window is a difference of running sums.
+    """
+    n = len(codes)
+    high, mid = codes << 12, codes << 6
+    total = np.zeros(len(starts))
+    for distance in range(2, SPAN):
+        wide = n - distance
+        inner = np.zeros(wide, np.float32)
+        outer = high[:wide] | codes[distance:]
+        for j in range(1, distance):
+            inner += weights[outer | mid[j:j + wide]]
+        sums = np.zeros(n + 1)
+        np.cumsum(inner, out=sums[1:wide + 1], dtype=np.float64)
+        total += DECAY ** (distance + 1) * (sums[np.maximum(starts, ends - distance)] - sums[starts])
+    return total / NORMS[ends - starts]
+
+
+def highest(texts, weights, with_windows=False):
+    """Value of every text's highest window, -1 without any; and these windows as bytes."""
+    values, windows = np.full(len(texts), -1.0), [b""] * len(texts)
+    waiting, owners, size = [], [], 0
+
+    def work():
+        codes = np.concatenate([x for own in waiting for x in (own, PAD)])
+        starts = np.cumsum([0, *(len(own) + SPAN for own in waiting[:-1])])
+        a, b = windows_of(codes, starts)
+        found = window_values(codes, a, b, weights)
+        owner = np.array(owners)[np.searchsorted(starts, a, "right") - 1]
+        low = np.full(len(texts), -np.inf)
+        np.maximum.at(low, owner, found)
+        met = np.isfinite(low)
+        values[met] = low[met]
+        if with_windows:
+            for i in np.flatnonzero(found == low[owner])[::-1].tolist():
+                windows[owner[i]] = codes[a[i]:b[i]].astype(np.uint8).tobytes()
+        waiting.clear()
+        owners.clear()
+
+    for i, text in enumerate(texts):
+        own = letter_codes(sentence(text))
+        if len(own):
+            waiting.append(own)
+            owners.append(i)
+            size += len(own) + SPAN
+            if size > PORTION:
+                work()
+                size = 0
+    if waiting:
+        work()
+    return (values, windows) if with_windows else values
+
+
+def kernel_with(marks, found):
+    """Kernel values (window, landmark) of windows with landmarks, as lists of subsequences."""
+    used = np.unique(np.concatenate([n for n, _ in marks]))
+    table = np.zeros((len(used) + 1, len(marks)), np.float32)
+    for m, (numbers, weights) in enumerate(marks):
+        table[np.searchsorted(used, numbers), m] = weights
+    made = np.zeros((len(found), len(marks)), np.float32)
+    for row, (numbers, weights) in enumerate(found):
+        at = np.searchsorted(used, numbers)
+        known = used[np.minimum(at, len(used) - 1)] == numbers
+        made[row] = weights[known] @ table[at[known]]
+    return made
+
+
 def fit(positive, negative, landmarks=LANDMARKS, ridge=1e-5, rounds=50):
-    """Weights by subsequence number and the offset, from example strings of both kinds.
+    """Weights by subsequence number and the offset, from windows of both kinds, each given as a
+    mapping from its codes (bytes) to its weight.
 
-    Landmarks are the first windows of either list, so the strings that matter most go first.
+    Landmarks are the first windows of either kind, so those that matter most go first.
     """
-    seen = [windows(x)[0] for x in (positive, negative)]
-    chosen = []
-    for x in seen:
-        first = np.sort(np.unique(x, axis=0, return_index=True)[1])
-        chosen.append(x[first[:landmarks // 2]])
-    chosen = np.concatenate(chosen)
-    marks = [subsequences(z) for z in chosen]
-    both = np.concatenate([chosen, *seen])
-    kernel = np.stack([weighted_sums(both, spread(*m)) for m in marks], axis=1)
-    spectrum, basis = np.linalg.eigh(kernel[:len(chosen)].astype(np.float64))
+    both = [[subsequences(np.frombuffer(w, np.uint8)) for w in x] for x in (positive, negative)]
+    marks = both[0][:landmarks // 2] + both[1][:landmarks // 2]
+    kernel = kernel_with(marks, marks + both[0] + both[1])
+    spectrum, basis = np.linalg.eigh(kernel[:len(marks)].astype(np.float64))
     sound = spectrum > 1e-6 * spectrum[-1]
     root = basis[:, sound] / np.sqrt(spectrum[sound])  # inverse square root of the kernel matrix
-    y = np.concatenate([np.ones(len(seen[0])), -np.ones(len(seen[1]))])
-    features = np.column_stack([kernel[len(chosen):] @ root, np.ones(len(y))])
-    cost = np.where(y > 0, 0.5 / len(seen[0]), 0.5 / len(seen[1]))
+    y = np.concatenate([np.ones(len(both[0])), -np.ones(len(both[1]))])
+    features = np.column_stack([kernel[len(marks):] @ root, np.ones(len(y))])
+    cost = np.concatenate([0.5 * np.array(list(x.values()), float) / sum(x.values())
+                           for x in (positive, negative)])
     bound = np.diag([ridge] * (features.shape[1] - 1) + [1e-8])
     w = np.zeros(features.shape[1])
     for _ in range(rounds):  # Newton steps; the loss is quadratic where the margin is broken
@@ -166,46 +244,6 @@ def logistic(values, labels, weights, rounds=50):
     return w
 
 
-class Scorer:
-    """Largest window value of texts; values of stretches are kept in a bounded table."""
-
-    def __init__(self, model):
-        self.weights, self.offset = model
-        self.forget()
-
-    def forget(self):
-        self.places, self.values = Places(), np.empty(0, np.float32)
-
-    def learn(self):
-        new, self.places.new = self.places.new, []
-        made = []
-        for at in range(0, len(new), 20_000):
-            seen, first = windows(new[at:at + 20_000])
-            made.append(np.maximum.reduceat(weighted_sums(seen, self.weights), first))
-        self.values = np.concatenate([self.values, *made])
-
-    def score(self, texts):
-        """Values of texts. Stretches that are new are worked out together, a portion of
-        texts at a time."""
-        found, waiting, count = [], [], 0
-        for text in texts:
-            parts = stretches(text)
-            waiting.append(np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts)))
-            count += len(parts)
-            if count > PORTION:
-                found += self.finish(waiting)
-                waiting, count = [], 0
-        found += self.finish(waiting)
-        return np.array(found) + self.offset
-
-    def finish(self, waiting):
-        self.learn()
-        found = [float(self.values[at].max()) if len(at) else -1.0 for at in waiting]
-        if len(self.places) > TABLE:
-            self.forget()
-        return found
-
-
 def signature(parts):
     """Lowest value of each hash function over a set of stretches, as bytes."""
     if not parts:
@@ -234,7 +272,7 @@ def near_groups(signatures):
 
 def labelled(docs, labels, id_col, text, label, folds, size):
     """A bounded sample per class of texts outside the held-out fold, equal sets of stretches
-    once: label, parts, their group of near copies and its size."""
+    once: label, text, parts, their group of near copies and its size."""
     known = labels.filter(F.col(label).isin(0, 1) & F.coalesce(
         crc_bucket(quoted(id_col), folds) != 0, F.lit(True)))
     parts = [spread_sample(known.filter(F.col(label) == y), [quoted(id_col)], size, 11)
@@ -243,7 +281,7 @@ def labelled(docs, labels, id_col, text, label, folds, size):
         quoted(id_col).alias("wanted"), quoted(label).cast("int").alias("label")), "toxic-sample")
     pairs = docs.select(quoted(id_col).alias("id"), quoted(text).cast("string").alias("text"))
     joined = pairs.join(F.broadcast(wanted.distinct()), F.col("id") == F.col("wanted"))
-    schema = "label int, digest string, signature binary, parts array<string>"
+    schema = "label int, text string, digest string, signature binary, parts array<string>"
 
     def cut(batches):
         for batch in batches:
@@ -252,14 +290,15 @@ def labelled(docs, labels, id_col, text, label, folds, size):
             digests = [hashlib.md5(" ".join(r).encode("utf-8", "surrogatepass")).hexdigest()
                        for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.string()),
+                [batch.column(0), batch.column(1), pa.array(digests, pa.string()),
                  pa.array([signature(r) for r in rows], pa.binary()),
                  pa.array(rows, pa.list_(pa.string()))],
-                names=["label", "digest", "signature", "parts"])
+                names=["label", "text", "digest", "signature", "parts"])
 
     made = joined.select("label", "text").mapInArrow(cut, schema)
-    # rows that share label and digest are equal, so it does not matter which one stays
-    texts = materialize(made.dropDuplicates(["label", "digest"]), "toxic-texts")
+    texts = materialize(made.groupBy("label", "digest").agg(
+        F.min("text").alias("text"), F.first("signature").alias("signature"),
+        F.first("parts").alias("parts")), "toxic-texts")
     rows = sorted(texts.select("label", "digest", "signature").collect())
     found = []
     for y in (0, 1):
@@ -272,87 +311,153 @@ def labelled(docs, labels, id_col, text, label, folds, size):
         F.broadcast(groups), ["label", "digest"]).drop("digest"), "toxic-groups")
 
 
-def examples(texts):
-    """Positive and negative example strings, and the table of all harmless stretches, by
-    counts over the sample. A stretch counts once per group of near copies that holds it."""
+def units_of(codes):
+    """What may tell a sentence's label: its windows between blanks, and runs of ``RUN``
+    characters in long stretches, as bytes, with their places."""
+    found, data = [], codes.astype(np.uint8).tobytes()
+    if len(codes):
+        padded = np.concatenate([codes, PAD])
+        for a, b in zip(*(x.tolist() for x in windows_of(padded, np.array([0])))):
+            if codes[a] == BLANK:
+                found.append((data[a:b], a, b))
+            else:  # the run in the middle; the first and last windows also have those beside
+                first, last = a + 2, a + 2
+                first = a if codes[a - 1] == BLANK else first
+                last = b - RUN if codes[b] == BLANK else last
+                found += [(data[r:r + RUN], a, b) for r in range(first, last + 1)]
+    return found
+
+
+def telling_units(texts):
+    """Units that toxic texts hold more often than chance allows, with the surprise.
+
+    A text counts by its share in its group of near copies.
+    """
     totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(
         F.countDistinct("near").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
-        return [], [], None
-    held = texts.select("label", "near", F.explode("parts").alias("part")).distinct()
-    counts = materialize(held.groupBy("part").agg(
-        F.count_if(F.col("label") == 1).alias("toxic"),
-        F.count_if(F.col("label") == 0).alias("clean")), "toxic-parts")
+        return {}
+
+    def cut(batches):
+        for batch in batches:
+            for y, copies, text in zip(batch.column("label").to_pylist(),
+                                       batch.column("copies").to_pylist(),
+                                       as_bytes(batch.column("text"))):
+                units = sorted({u for u, _, _ in units_of(letter_codes(sentence(text)))})
+                share = np.full(len(units), 1 / copies)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(units, pa.binary()), pa.array(share * y),
+                     pa.array(share * (1 - y))], names=["unit", "toxic", "clean"])
+
+    counts = materialize(texts.select("label", "copies", "text").mapInArrow(
+        cut, "unit binary, toxic double, clean double").groupBy("unit").agg(
+        F.round(F.sum("toxic"), 6).alias("toxic"), F.round(F.sum("clean"), 6).alias("clean")),
+        "toxic-units")
     odds = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
-    # surprise of the toxic share among the texts with the stretch, beyond that of trying so many
     n = F.col("toxic") + F.col("clean")
     share = toxic / (toxic + clean)
     surprise = (F.col("toxic") * F.log(F.col("toxic") / (n * share))
                 + F.when(F.col("clean") > 0, F.col("clean") * F.log(
                     F.col("clean") / (n * (1 - share)))).otherwise(0))
-    sized = F.length("part") <= 60
-    positive = counts.filter(
-        sized & (F.col("toxic") >= 2) & (odds >= 8) & (surprise > np.log(counts.count()))
-    ).orderBy(F.col("toxic").desc(), "part").limit(POSITIVES)
-    harmless = counts.filter(sized & (F.col("clean") > 0) & (odds < 2))
-    common = harmless.orderBy(F.col("clean").desc(), "part").limit(NEGATIVES // 4)
-    mixed = harmless.orderBy(F.xxhash64("part"), "part").limit(NEGATIVES)
-    return ([r["part"] for r in positive.collect()],
-            list(dict.fromkeys(r["part"] for r in [*common.collect(), *mixed.collect()])),
-            harmless.select("part"))
-
-
-def hardest(harmless, model):
-    """The harmless stretches that a machine values highest."""
-    shared = harmless.sparkSession.sparkContext.broadcast(model)
-
-    def value(batches):
-        scorer = Scorer(shared.value)
+    # beyond what trying so many units would bring up by chance
+    found = counts.filter((F.col("toxic") >= 1.99) & (odds >= 8)).withColumn(
+        "surprise", F.round(surprise, 6)).filter(F.col("surprise") > np.log(counts.count()))
+    return {bytes(r["unit"]): r["surprise"] for r in found.orderBy(
+        F.desc("surprise"), "unit").limit(TELLING).select("unit", "surprise").collect()}
+
+
+def first_windows(texts, telling):
+    """Rows of label, copies, value and window. Of a toxic text the window of its most telling
+    unit, of a clean one some at random, by a hash of the text."""
+    def choose(batches):
         for batch in batches:
-            parts = as_bytes(batch.column(0))
+            rows = []
+            for y, copies, text in zip(batch.column("label").to_pylist(),
+                                       batch.column("copies").to_pylist(),
+                                       as_bytes(batch.column("text"))):
+                codes = letter_codes(sentence(text))
+                units = units_of(codes)
+                if y:
+                    told = [(-telling[u], a, b) for u, a, b in units if u in telling]
+                    picked = [min(told)[1:]] if told else []
+                else:
+                    picked = [units[xxhash.xxh64_intdigest(text, seed) % len(units)][1:]
+                              for seed in range(3) if units]
+                rows += [(y, copies, 0.0, codes[a:b].astype(np.uint8).tobytes())
+                         for a, b in picked]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scorer.score(parts), pa.float64())],
-                names=["part", "value"])
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (
+                    pa.int32(), pa.int32(), pa.float64(), pa.binary()))],
+                names=["label", "copies", "value", "window"])
 
-    rows = harmless.mapInArrow(value, "part string, value double").orderBy(
-        F.col("value").desc(), "part").limit(HARD).collect()
-    return [r["part"] for r in rows]
+    return texts.select("label", "copies", "text").mapInArrow(choose, CHOSEN).collect()
 
 
-def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
-    """Weights, offset and the logistic slope and offset; None without both classes."""
-    texts = labelled(docs, labels, id_col, text, label, folds, size)
-    positive, negative, harmless = examples(texts)
-    if not positive or not negative:
-        return None
-    rng = np.random.default_rng(1)
-    # spelled with a character put in, insults must still be recognized
-    spoiled = []
-    for word in positive:
-        at = int(rng.integers(1, max(2, len(word))))
-        spoiled.append(word[:at] + ".-*_"[int(rng.integers(4))] + word[at:])
-    toxic = [*positive, *spoiled]
-    model = fit(toxic, negative)
-    # once more, with the harmless stretches that come closest
-    hard = hardest(harmless, model)
-    model = fit(toxic, list(dict.fromkeys([*hard, *negative])))
+CHOSEN = "label int, copies int, value double, window binary"
+
+
+def best_windows(texts, model):
+    """The same with every text's highest window under a machine, in a fixed order."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
-    def value(batches):
-        scorer = Scorer(shared.value)
+    def choose(batches):
+        weights, offset = shared.value
         for batch in batches:
-            joined = [" ".join(p).encode() for p in batch.column("parts").to_pylist()]
+            values, windows = highest(as_bytes(batch.column("text")), weights, True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), batch.column("copies"),
-                 pa.array(scorer.score(joined), pa.float64())],
-                names=["label", "copies", "value"])
-
-    # in a fixed order, as sums of floats depend on it; a group of near copies weighs as one text
-    rows = sorted(texts.select("label", "copies", "parts").mapInArrow(
-        value, "label int, copies int, value double").collect())
-    label, copies, values = map(np.array, zip(*rows))
-    slope = logistic(values, label, 1 / copies)
+                 pa.array(values + offset, pa.float64()), pa.array(windows, pa.binary())],
+                names=["label", "copies", "value", "window"])
+
+    # in a fixed order, as sums of floats depend on it
+    return sorted(texts.select("label", "copies", "text").mapInArrow(choose, CHOSEN).collect())
+
+
+def gathered(rows, into=()):
+    """Windows by weight, the sum of their texts' shares, heaviest first."""
+    found = Counter(dict(into))
+    for r in rows:
+        if r["window"]:
+            found[bytes(r["window"])] += 1 / r["copies"]
+    return dict(sorted(found.items(), key=lambda x: (-round(x[1], 6), x[0])))
+
+
+def spoiled(windows):
+    """Windows, and beside each the same with a character put in."""
+    rng = np.random.default_rng(1)
+    made = dict(windows)
+    for window, weight in windows.items():
+        at = int(rng.integers(min(2, len(window) - 1), max(2, len(window) - 2) + 1))
+        sign = letter_codes(".-*_"[int(rng.integers(4))]).astype(np.uint8).tobytes()
+        other = (window[:at] + sign + window[at:])[:LONGEST]
+        made[other] = made.get(other, 0) + weight
+    return made
+
+
+def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
+    """Weights, offset and the logistic slope and offset; None without both classes."""
+    texts = labelled(docs, labels, id_col, text, label, folds, size)
+    telling = telling_units(texts)
+    if not telling:
+        return None
+    rows = sorted(first_windows(texts, telling))
+    positive = gathered(r for r in rows if r["label"])
+    negative = gathered(r for r in rows if not r["label"])
+    if not positive or not negative:
+        return None
+    for _ in range(ROUNDS):
+        model = fit(spoiled(positive), negative)
+        rows = best_windows(texts, model)
+        clean = [r for r in rows if not r["label"]]
+        # a toxic text whose highest window is no higher than most clean texts' teaches nothing
+        usual = float(np.quantile([r["value"] for r in clean], 0.9))
+        positive = gathered(r for r in rows if r["label"] and r["value"] > usual) or positive
+        hard = gathered(sorted(clean, key=lambda r: -r["value"]))
+        negative = {**hard, **{w: n for w, n in negative.items() if w not in hard}}
+    copies = np.array([r["copies"] for r in rows])
+    slope = logistic(np.array([r["value"] for r in rows]), np.array([r["label"] for r in rows]),
+                     1 / copies)
     return model, slope
 
 
@@ -364,10 +469,9 @@ def toxicity(docs, labels, id_col="doc_id", text="text", label="toxic", folds=5,
     def start():
         if model.value is None:
             return lambda texts: [[0.0] * len(texts)]
-        machine, (slope, offset) = model.value
-        scorer = Scorer(machine)
+        (weights, bias), (slope, offset) = model.value
         return lambda texts: [1 / (1 + np.exp(-np.clip(
-            slope * scorer.score(texts) + offset, -30, 30)))]
+            slope * (highest(texts, weights) + bias) + offset, -30, 30)))]
 
     made, _ = map_texts(docs, text, [id_col], [T.StructField("score", T.DoubleType(), False)],
                         start)

@@ -55,31 +55,90 @@ def test_toxic_texts_are_found_on_held_out_ones(talk):
 
 def test_insults_with_gaps_score_higher(spark, talk):
     docs, labels, _ = talk
-    model, (slope, offset) = toxicity.train(docs, labels, "doc_id", "text", "toxic", 5)
-    value = slope * toxicity.Scorer(model).score(
+    (weights, bias), (slope, offset) = toxicity.train(docs, labels, "doc_id", "text", "toxic", 5)
+    value = slope * (toxicity.highest(
         [b"ber minsat dol", b"ber grobnik dol", b"ber grob.nik dol", b"ber groxbnik dol",
-         b"ber g r o b n i k dol", None, b"", "gröbnik".encode()]) + offset
-    assert (value[1:5] > 0).all() and value[0] < 0 and value[5] < 0 and value[6] < 0
+         b"ber g r o b n i k dol", b"bersatgrobnikminverlompin", None, b"", "gröbnik".encode()],
+        weights) + bias) + offset
+    assert (value[1:6] > 0).all() and value[0] < 0 and value[6] < 0 and value[7] < 0
+
+
+def found_by(spark, docs, labels):
+    """Shares of held-out toxic and of clean texts that are called toxic."""
+    truth = {i: y for i, _, y, _ in labels}
+    rows = [r for r in toxicity.toxicity(
+        spark.createDataFrame(docs, DOCS).repartition(3),
+        spark.createDataFrame(labels, LABELS)).collect() if r["held_out"]]
+    return [sum(r["predicted"] for r in rows if truth[r["doc_id"]] == y)
+            / sum(truth[r["doc_id"]] == y for r in rows) for y in (1, 0)]
+
+
+def test_texts_without_blanks(spark):
+    """One stretch of 90 characters each, an insult somewhere inside every third."""
+    rng = np.random.default_rng(8)
+    parts = ["ber", "dol", "min", "sat", "ver", "lom", "pin", "gar", "tez", "hul"]
+    insults, docs, labels = ["grobnik", "snarvolt", "plimwitz"], [], []
+    for i in range(600):
+        text = "".join(rng.choice(parts, 30))
+        if i % 3 == 0:
+            at = int(rng.integers(0, 80))
+            text = text[:at] + insults[i // 3 % 3] + text[at:]
+        docs.append(document(i, text[:90]))
+        labels.append((i, 0, int(i % 3 == 0), 7))
+    toxic, clean = found_by(spark, docs, labels)
+    assert toxic >= 0.9 and clean <= 0.03
+
+
+def test_phrases_of_harmless_words(spark):
+    """Two words side by side in toxic texts; every clean text holds both of them apart."""
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghiklmnoprstuvwz")
+    pool = ["".join(rng.choice(letters, int(rng.integers(4, 9)))) for _ in range(250)]
+    pairs, docs, labels = [(pool[3], pool[40]), (pool[10], pool[77])], [], []
+    for i in range(800):
+        text = [str(x) for x in rng.choice(pool[80:], 40)]
+        pair, at = pairs[i % 2], int(rng.integers(0, 30))
+        text[at], text[at + 1 if i % 4 < 2 else at + 5] = pair
+        docs.append(document(i, " ".join(text)))
+        labels.append((i, 0, int(i % 4 < 2), 7))
+    toxic, clean = found_by(spark, docs, labels)
+    assert toxic >= 0.9 and clean <= 0.05
 
 
 def test_the_sum_over_landmarks_is_the_weighted_sum():
-    """One weight per subsequence gives the value of the kernel expansion."""
-    seen = toxicity.windows(["grobnik", "snarvolt", "a", "miteinander verboten", ""])[0]
-    every = np.stack([toxicity.spread(*toxicity.subsequences(z)) for z in seen])
-    marks, beta = every[:4], np.array([0.5, -1.0, 2.0, 0.25])
-    kernel = every @ marks.T
+    """Running sums over a text give every window's value of the kernel expansion."""
+    sentences = ["grobnik a miteinander verboten", "x", "ein so langgeschlossenesstueck ja", "é ß"]
+    codes = [toxicity.letter_codes(toxicity.sentence(t.encode())) for t in sentences]
+    starts = np.cumsum([0, *(len(c) + toxicity.SPAN for c in codes[:-1])])
+    whole = np.concatenate([x for c in codes for x in (c, toxicity.PAD)])
+    first, end = toxicity.windows_of(whole, starts)
+    shown = {"".join(" " if c == toxicity.BLANK else chr(96 + c) if c < 27 else "?"
+                     for c in whole[a:b]) for a, b in zip(first, end)}
+    assert {" grobnik ", " a ", " grobnik a ", " a miteinander ", " x ", " ? ? ", "langgeschl",
+            " langgeschlossenesstueck ", "miteinande"} <= shown
+    assert not any("a  " in w or "x ein" in w for w in shown)
+    found = [toxicity.subsequences(whole[a:b]) for a, b in zip(first, end)]
+    every = np.stack([toxicity.spread(*f) for f in found])
+    beta = np.array([0.5, -1.0, 2.0, 0.25])
+    kernel = toxicity.kernel_with(found[:4], found)
+    assert kernel == pytest.approx(every @ every[:4].T, abs=1e-5)
+    weights = (beta @ every[:4]).astype(np.float32)
     assert kernel @ beta == pytest.approx(
-        toxicity.weighted_sums(seen, (beta @ marks).astype(np.float32)), abs=1e-5)
+        toxicity.window_values(whole, first, end, weights), abs=1e-4)
+    values, windows = toxicity.highest([t.encode() for t in sentences] + [None], weights, True)
+    owner = np.searchsorted(starts, first, "right") - 1
+    for i in range(4):
+        assert values[i] == pytest.approx((kernel @ beta)[owner == i].max(), abs=1e-4)
+    assert windows[1] == bytes([27, 24, 27]) and values[4] == -1 and windows[4] == b""
 
 
-def test_stretches_come_out_the_same_with_a_small_table(monkeypatch, talk):
+def test_texts_come_out_the_same_in_portions(monkeypatch, talk):
     docs, labels, _ = talk
-    model, _ = toxicity.train(docs, labels, "doc_id", "text", "toxic", 5)
-    texts = [r["text"].encode() for r in docs.limit(80).collect()] + [b"x" * 5000]
-    whole = toxicity.Scorer(model).score(texts)
-    monkeypatch.setattr(toxicity, "TABLE", 20)
+    (weights, _), _ = toxicity.train(docs, labels, "doc_id", "text", "toxic", 5)
+    texts = [r["text"].encode() for r in docs.limit(80).collect()] + [b"x" * 5000, None, b" "]
+    whole = toxicity.highest(texts, weights)
     monkeypatch.setattr(toxicity, "PORTION", 90)
-    assert toxicity.Scorer(model).score(texts) == pytest.approx(whole)
+    assert toxicity.highest(texts, weights) == pytest.approx(whole, abs=1e-5)
 
 
 def test_unrelated_labelled_texts_are_all_learned_from(spark):
