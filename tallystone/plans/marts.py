@@ -12,7 +12,7 @@ from ..model import (
     NO_ORGANIZATION, REMITTANCE,
 )
 from ..operators.balances import correct_balances, net_funds_of_staged
-from ..operators.scd2 import first_versions, scd2_merge, with_guard
+from ..operators.scd2 import first_versions, scd2_changes, scd2_merge, with_guard
 from ..operators.skew import salted_lookup
 from ..operators.upsert import upsert
 from .facilities import facilities
@@ -70,6 +70,14 @@ def load_facilities(dimension, staged, run_ts):
     return _load(dimension, staged, "facility_sk", guard, run_ts)
 
 
+def dimension_changes(current, staged, key, guard, run_ts):
+    """The rows a load adds to a dimension of which ``current`` holds the open versions: what
+    it opens and closes, and the guard member if that is missing."""
+    missing = guard.join(current.select(key), key, "left_anti")
+    return scd2_changes(current, staged, key, run_ts).unionByName(
+        missing.select(*current.columns))
+
+
 def current_members(dimension, key="facility_id", guard=NO_FACILITY):
     """Current versions without the guard member."""
     return dimension.filter(F.col("is_current_ind") & (F.col(key) != guard))
