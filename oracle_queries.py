@@ -597,6 +597,8 @@ def oracle():
             where duplicate_ind or conflict_ind or parse_fail_ind
             union all select 2, {AUDIT_COUNTS} from ({flagged('delta')})
             where duplicate_ind or conflict_ind or parse_fail_ind""",
+        "running_balance_kept": f"""select transaction_id, facility_id, transaction_date, amount,
+            facility_balance from ({RUNNING.format(fact='fact_after')})""",
         "audit_listing": " union all ".join(f"""select {run} as run, transaction_id, record_number,
             duplicate_ind, conflict_ind, parse_fail_ind, parse_fail_fields from ({flagged(source)})
             where duplicate_ind or conflict_ind or parse_fail_ind"""

@@ -426,6 +426,12 @@ def nfe_movement_as_of(b):
         current_members(job.marts(first_run).facility), job.marts().facility)
 
 
+def running_balance_kept(b):
+    """Running balances after the second delivery, from the movements of both."""
+    return fed(b).running_balances().select(
+        "transaction_id", "facility_id", "transaction_date", "amount", "facility_balance")
+
+
 def audit_listing(b):
     """Every audited record by run, id and copy; sorted by ranges, whatever their number."""
     audit = fed(b).tables.read("audit")
@@ -541,6 +547,7 @@ QUERIES = {
     "raw_feed_fact": raw_feed_fact,
     "raw_feed_runs": lambda b: run_summary(fed(b)),
     "nfe_movement_as_of": nfe_movement_as_of,
+    "running_balance_kept": running_balance_kept,
     "audit_listing": audit_listing,
     "intake_to_fact": intake_to_fact,
     # checks
