@@ -35,9 +35,9 @@ MARK = "▁"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Distinct stretches kept at once, and stretches handled in one go.
-TABLE, PORTION = 400_000, 100_000
-#: Characters up to which all pairs are looked at again after every merge.
-SHORT = 40
+TABLE, PORTION = 800_000, 100_000
+#: Characters up to which the best pair is looked for in a list, and the rank of no piece.
+SHORT, NONE = 40, 1 << 40
 _coders = {}
 
 codecs.register_error("bytewise", lambda e: ("�", e.start + 1))
@@ -129,6 +129,10 @@ class Model:
         self.map = CharacterMap(rules[2]) if rules.get(2) else None
         self.unknown = trainer.get(44, " ⁇ ".encode())
         self.ids = {t: i for i, (t, k) in enumerate(zip(self.texts, self.kinds)) if k == NORMAL}
+        #: Place of every piece by score, the best first; equal for equal scores.
+        places = {s: i for i, s in enumerate(sorted({self.scores[i] for i in self.ids.values()},
+                                                    reverse=True))}
+        self.ranks = {t: places[self.scores[i]] for t, i in self.ids.items()}
         self.bytes = {int(t[3:5], 16): i
                       for i, (t, k) in enumerate(zip(self.texts, self.kinds)) if k == BYTE}
         #: Bytes of the normalised text that each piece stands for.
@@ -194,20 +198,20 @@ class Model:
 
     def merged(self, stretch):
         """Ids of a normalised stretch."""
-        ids, scores = self.ids, self.scores
+        ids, rank = self.ids, self.ranks.get
         parts = list(stretch)
         if len(parts) > SHORT:
             parts = self.merged_by_heap(parts)
         else:
-            while len(parts) > 1:
-                best, at = None, -1
-                for i in range(len(parts) - 1):
-                    found = ids.get(parts[i] + parts[i + 1])
-                    if found is not None and (best is None or scores[found] > best):
-                        best, at = scores[found], i
-                if at < 0:
-                    break
-                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            pairs = [rank(a + b, NONE) for a, b in zip(parts, parts[1:])]
+            while pairs and (best := min(pairs)) != NONE:
+                i = pairs.index(best)
+                parts[i] += parts.pop(i + 1)
+                del pairs[i]
+                if i:
+                    pairs[i - 1] = rank(parts[i - 1] + parts[i], NONE)
+                if i < len(pairs):
+                    pairs[i] = rank(parts[i] + parts[i + 1], NONE)
         made = []
         for part in parts:
             found = ids.get(part)
@@ -218,15 +222,14 @@ class Model:
         return made
 
     def merged_by_heap(self, parts):
-        ids, scores = self.ids, self.scores
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
         heap = []
 
         def offer(a, b):
-            found = ids.get(parts[a] + parts[b])
+            found = self.ranks.get(parts[a] + parts[b])
             if found is not None:
-                heap.append((-scores[found], a, b, len(parts[a]) + len(parts[b])))
+                heap.append((found, a, b, len(parts[a]) + len(parts[b])))
                 return True
 
         for i in range(len(parts) - 1):
