@@ -8,11 +8,11 @@ between blanks and the pairs of neighbouring ones, so phrases are seen across th
 in longer stretches the ``SPAN`` characters from every place on, so a language written without
 blanks is seen as well. Letters spelled out one by one are also read as one stretch.
 
-Labels are of whole sentences, so which window makes one toxic has to be found. At first it is
-the window, or in long stretches the run of ``RUN`` characters, that by counts over the sample
-speaks most for the label. Then the machine is trained on these windows against windows of
-clean texts, and for some rounds every toxic text's window is chosen anew as the one that the
-machine values most, while each clean text adds its own highest one. The machine is a linear one
+Labels are of whole sentences, so which windows make one toxic has to be found. At first they are
+the windows, or in long stretches the runs of ``RUN`` characters, that by counts over the sample
+speak for the label. Then the machine is trained on these windows against windows of clean
+texts, and for some rounds every toxic text adds the window that the machine values most, chosen
+anew each time, while each clean text adds its own highest one. The machine is a linear one
 (squared hinge loss) on the Nyström features of kernel values with the landmarks, which are
 windows of both kinds. Its value of a window, b + sum over landmarks of beta[m] * K(window, z[m]),
 is linear in the window's subsequences, so scoring adds up one weight per subsequence, which
@@ -44,7 +44,7 @@ LONGEST = 26
 #: landmarks. In a round every text gives one window, clean ones three more at the start.
 SAMPLE, TELLING, LANDMARKS, ROUNDS = 4000, 4000, 300, 3
 #: Characters whose windows are summed in one go.
-PORTION = 200_000
+PORTION = 60_000
 #: Hash functions of a signature, and the share of equal values that makes two texts near copies.
 FACTORS = np.random.default_rng(9).integers(1 << 62, 1 << 63, 64, np.uint64) | np.uint64(1)
 NEAR = 0.8
@@ -133,14 +133,18 @@ def window_values(codes, starts, ends, weights):
     distance the sum over a window is a difference of running sums.
     """
     n = len(codes)
+    codes = codes.astype(np.intp)
     high, mid = codes << 12, codes << 6
     total = np.zeros(len(starts))
+    number, weight = np.empty(n, np.intp), np.empty(n, np.float32)
     for distance in range(2, SPAN):
         wide = n - distance
         inner = np.zeros(wide, np.float32)
         outer = high[:wide] | codes[distance:]
         for j in range(1, distance):
-            inner += weights[outer | mid[j:j + wide]]
+            np.bitwise_or(outer, mid[j:j + wide], out=number[:wide])
+            np.take(weights, number[:wide], out=weight[:wide], mode="clip")
+            inner += weight[:wide]
         sums = np.zeros(n + 1)
         np.cumsum(inner, out=sums[1:wide + 1], dtype=np.float64)
         total += DECAY ** (distance + 1) * (sums[np.maximum(starts, ends - distance)] - sums[starts])
@@ -368,8 +372,8 @@ def telling_units(texts):
 
 
 def first_windows(texts, telling):
-    """Rows of label, copies, value and window. Of a toxic text the window of its most telling
-    unit, of a clean one some at random, by a hash of the text."""
+    """Rows of label, copies, value and window. Of a toxic text the windows of telling units, the
+    most telling ones where they overlap, of a clean one some at random, by a hash of the text."""
     def choose(batches):
         for batch in batches:
             rows = []
@@ -379,8 +383,10 @@ def first_windows(texts, telling):
                 codes = letter_codes(sentence(text))
                 units = units_of(codes)
                 if y:
-                    told = [(-telling[u], a, b) for u, a, b in units if u in telling]
-                    picked = [min(told)[1:]] if told else []
+                    picked = []
+                    for _, a, b in sorted((-telling[u], a, b) for u, a, b in units if u in telling):
+                        if all(b <= c + 1 or d <= a + 1 for c, d in picked):
+                            picked.append((a, b))
                 else:
                     picked = [units[xxhash.xxh64_intdigest(text, seed) % len(units)][1:]
                               for seed in range(3) if units]
@@ -442,7 +448,7 @@ def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
     if not telling:
         return None
     rows = sorted(first_windows(texts, telling))
-    positive = gathered(r for r in rows if r["label"])
+    first = positive = gathered(r for r in rows if r["label"])
     negative = gathered(r for r in rows if not r["label"])
     if not positive or not negative:
         return None
@@ -452,7 +458,7 @@ def train(docs, labels, id_col, text, label, folds, size=SAMPLE):
         clean = [r for r in rows if not r["label"]]
         # a toxic text whose highest window is no higher than most clean texts' teaches nothing
         usual = float(np.quantile([r["value"] for r in clean], 0.9))
-        positive = gathered(r for r in rows if r["label"] and r["value"] > usual) or positive
+        positive = gathered((r for r in rows if r["label"] and r["value"] > usual), first)
         hard = gathered(sorted(clean, key=lambda r: -r["value"]))
         negative = {**hard, **{w: n for w, n in negative.items() if w not in hard}}
     copies = np.array([r["copies"] for r in rows])
