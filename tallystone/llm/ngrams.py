@@ -2,16 +2,20 @@
 
 The model counts the n-grams of all training texts and smooths each order towards the one
 below: P(w | h) = (c(hw) + m P(w | h')) / (c(h) + m), where h' is h less its first word; single
-tokens are discounted by ``DISCOUNT`` in favour of one more, unknown token. As an automaton:
-every counted context is a state; every counted continuation an arc with its log probability
-and the state it leads to; a failure arc leads to the state of h' at the cost of
-m / (c(h) + m). A text is traversed once from left to right, carrying the state.
+tokens are discounted by ``DISCOUNT`` in favour of one more, unknown token. A history of
+several tokens counts as a context from ``LEAST`` occurrences on; below that h' takes its
+place, so probabilities still sum to one. As an automaton: every context is a state; every
+counted continuation an arc with its log probability and the state of the longest context it
+leads to; a failure arc leads to the state of h' at the cost of m / (c(h) + m). A text is
+traversed once from left to right, carrying the state.
 
 No task holds the whole model. Texts are encoded in blocks of about ``BLOCK`` tokens. Each
 block sends its distinct n-grams with their training counts out by hash range; there they
 are added up over all blocks, and every block gets the totals of the n-grams it asked for:
-the part of the automaton that its own texts can reach. So memory follows the block, and
-the counts follow the corpus. N-grams travel as 64-bit hashes.
+the part of the automaton that its own texts can reach. Single tokens and pairs go first;
+of longer n-grams only those are asked for whose context has proved frequent enough. So
+memory follows the block, and the counts follow the corpus. N-grams travel as 64-bit hashes.
+A text longer than ``BLOCK`` makes a longer block of its own.
 
 Defined cases: a null or wordless text is its end token alone; rows repeated whole all count
 and are all scored; a null id is trained on and not held out; with nothing to learn from
@@ -23,6 +27,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import functions as F, types as T
 
 from .common import as_bytes, crc_bucket, materialize, quoted
@@ -30,18 +35,19 @@ from .tokens import Places
 
 BLOCK = 600_000
 KEYS_PER_TASK = 1_000_000
-ORDER, WEIGHT, DISCOUNT = 2, 100.0, 0.75
+ORDER, LEAST, WEIGHT, DISCOUNT = 3, 2, 100.0, 0.75
 
 
 def planes(values):
-    """Bytes of an array, all first bytes first, then all second ones: zeros come together."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(
-        len(values), values.itemsize).T.tobytes()
+    """Packed bytes of an array, all first bytes first, then all second ones."""
+    data = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return zstandard.compress(data.T.tobytes(), 1)
 
 
 def from_planes(data, kind):
     size = np.dtype(kind).itemsize
-    return np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+    data = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return data.reshape(size, -1).T.copy().view(kind).ravel()
 
 
 def encode(given, id_type):
@@ -153,31 +159,20 @@ def grams_of(row, order):
                  from_planes(row["hashes"], np.uint64), order)
 
 
-def totals(blocks, order):
-    """Counts over all training texts of every n-gram, per asking block and hash range.
+def asked(keys, counts, order, ranges, block):
+    """Sorted hashes of n-grams of one order, with the block's own counts, by hash range."""
+    parts = [(r, a, b) for r, (a, b) in enumerate(pairwise(edges(keys, ranges))) if b > a]
+    gaps = [np.diff(keys[a:b], prepend=np.uint64(0)) for _, a, b in parts]
+    return pa.table([
+        pa.array([(order - 1) * ranges + r for r, _, _ in parts], pa.int64()),
+        pa.array([block] * len(parts), pa.int64()),
+        pa.array([planes(g) for g in gaps], pa.binary()),
+        pa.array([planes(counts[a:b]) for _, a, b in parts], pa.binary()),
+    ], names=["place", "block", "keys", "counts"])
 
-    Rows of block -1 tell how many tokens were counted and how many are distinct.
-    """
-    tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
-    ranges = max(1, -(-tokens // KEYS_PER_TASK))
-
-    def ask(batches):
-        for batch in batches:
-            for row in rows_of(batch):
-                made = grams_of(row, order)
-                for k, (keys, counts) in enumerate(zip(made.keys, made.train)):
-                    cuts = edges(keys, ranges)
-                    parts = [(r, a, b) for r, (a, b) in enumerate(pairwise(cuts)) if b > a]
-                    gaps = [np.diff(keys[a:b], prepend=np.uint64(0)) for _, a, b in parts]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([k * ranges + r for r, _, _ in parts], pa.int64()),
-                        pa.array([row["block"]] * len(parts), pa.int64()),
-                        pa.array([planes(g) for g in gaps], pa.binary()),
-                        pa.array([planes(counts[a:b]) for _, a, b in parts], pa.binary()),
-                    ], names=["place", "block", "keys", "counts"])
 
+def added(ranges):
     def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        place = key[0].as_py()
         keys = [np.cumsum(from_planes(x, np.uint64), dtype=np.uint64)
                 for x in table.column("keys").to_pylist()]
         counts = np.concatenate([from_planes(x, np.int32)
@@ -186,19 +181,82 @@ def totals(blocks, order):
         total = np.bincount(at, counts).astype(np.int64)
         cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
         answer = total[at]
-        block, told = table.column("block").to_pylist(), []
-        for a, b in pairwise(cuts):
-            told.append(planes(answer[a:b]))
-        if place < ranges:
-            block.append(-1)
-            told.append(planes(np.array([counts.sum(), (total > 0).sum()], np.int64)))
-        return pa.table([pa.array([place] * len(block), pa.int64()), pa.array(block, pa.int64()),
-                         pa.array(told, pa.binary())], names=["place", "block", "totals"])
+        told = [planes(answer[a:b]) for a, b in pairwise(cuts)]
+        # the first row of a range of single tokens bears how many there are, and how many differ
+        size, single = len(told), key[0].as_py() < ranges
+        tokens = [int(counts.sum()) if single else None] + [None] * (size - 1)
+        distinct = [int((total > 0).sum()) if single else None] + [None] * (size - 1)
+        return pa.table([
+            pa.array([key[0].as_py()] * size, pa.int64()), table.column("block"),
+            pa.array(told, pa.binary()), pa.array(tokens, pa.int64()),
+            pa.array(distinct, pa.int64())],
+            names=["place", "block", "totals", "tokens", "distinct"])
+
+    return add
+
+
+def wanted(grams, counts, order, least):
+    """Which n-grams of an order can be arcs, given the totals of the order below."""
+    if order <= 2:
+        return np.ones(len(grams.keys[order - 1]), bool)
+    return counts[order - 2][grams.at[order - 2][grams.sample[order - 1] - 1]] >= least
 
-    asked = blocks.select("block", "train", "lengths", "words", "hashes").mapInArrow(
-        ask, "place long, block long, keys binary, counts binary")
-    return materialize(asked.groupBy("place").applyInArrow(
-        add, "place long, block long, totals binary"), "lm-totals")
+
+def told(grams, answer, order, least):
+    """Totals of each order up to ``order``; of n-grams that were not asked for, 0."""
+    parts = [from_planes(x, np.int64) for x in answer.sort_by("place").column("totals").to_pylist()]
+    every, at, counts = np.concatenate(parts), 0, []
+    for k in range(1, order + 1):
+        own = wanted(grams, counts, k, least)
+        total = np.zeros(len(own), np.int64)
+        total[own] = every[at:at + int(own.sum())]
+        at += int(own.sum())
+        counts.append(total)
+    return counts
+
+
+def totals(blocks, tokens, order, least):
+    """Counts over all training texts of every n-gram, per asking block and hash range.
+
+    Single tokens and pairs are asked for at once, each longer order when the one below it is
+    known. ``tokens`` and ``distinct`` add up to the number of counted tokens and of different ones.
+    """
+    ranges = max(1, -(-tokens // KEYS_PER_TASK))
+    form = "place long, block long, keys binary, counts binary"
+
+    def ask(batches):
+        for batch in batches:
+            for row in rows_of(batch):
+                first = min(order, 2)
+                grams = grams_of(row, first)
+                for k in range(1, first + 1):
+                    yield from asked(grams.keys[k - 1], grams.train[k - 1], k, ranges,
+                                     row["block"]).to_batches()
+
+    def sums(asked_for):
+        # as many tasks as ranges, so a task's share does not grow with the input
+        return materialize(asked_for.repartition(ranges, "place").groupBy("place").applyInArrow(
+            added(ranges), "place long, block long, totals binary, tokens long, distinct long"),
+            "lm-totals")
+
+    answers = sums(blocks.select("block", "train", "lengths", "words", "hashes").mapInArrow(
+        ask, form))
+    for k in range(3, order + 1):
+        def ask_longer(key: tuple[pa.Scalar, ...], block: pa.Table, answer: pa.Table) -> pa.Table:
+            grams = grams_of(block.to_pylist()[0], k)
+            own = wanted(grams, told(grams, answer, k - 1, least), k, least)
+            return asked(grams.keys[k - 1][own], grams.train[k - 1][own], k, ranges,
+                         key[0].as_py())
+
+        narrow = blocks.select("block", "train", "lengths", "words", "hashes")
+        answers = answers.unionByName(sums(
+            by_block(narrow, tokens).cogroup(by_block(answers, tokens)).applyInArrow(
+                ask_longer, form)))
+    return answers
+
+
+def by_block(df, tokens):
+    return df.repartition(max(1, -(-tokens // BLOCK)), "block").groupBy("block")
 
 
 class Automaton:
@@ -207,21 +265,24 @@ class Automaton:
     State 0 is the empty context. ``key`` of an arc is state * width + word, in order.
     """
 
-    def __init__(self, grams, counts, tokens, distinct, weight):
+    def __init__(self, grams, counts, tokens, distinct, weight, least):
         self.width = grams.width
         order = len(counts)
         lowest = grams.sequence[grams.sample[0]]
         c = counts[0].astype(np.float64)
         spare = DISCOUNT * distinct / tokens / (distinct + 1)
         chance = np.where(c > 0, (c - DISCOUNT) / tokens, 0) + spare
-        state_of = []
+        # states of contexts, and of the longest context that an n-gram ends in
+        state_of, longest = [], []
         state = 0
         for k in range(order - 1):
-            known = counts[k] > 0
+            known = counts[k] >= (least if k else 1)
             number = np.zeros(len(known), np.int64)
             number[known] = state + 1 + np.arange(int(known.sum()))
             state += int(known.sum())
             state_of.append(number)
+            longest.append(number if k == 0 else np.where(
+                known, number, longest[k - 1][grams.at[k - 1][grams.sample[k]]]))
         self.fail = np.zeros(state + 1, np.int64)
         self.fail_cost = np.zeros(state + 1)
         self.root_cost = np.zeros(self.width)
@@ -234,14 +295,16 @@ class Automaton:
             sample = grams.sample[k]
             context = grams.at[k - 1][sample - 1]
             suffix = grams.at[k - 1][sample]
-            seen = counts[k] > 0
             below = counts[k - 1][context].astype(np.float64)
-            chance = (counts[k] + weight * chance[suffix]) / (below + weight)
+            known = state_of[k - 1][context] > 0
+            seen = known & (counts[k] > 0)
+            chance = np.where(known, (counts[k] + weight * chance[suffix]) / (below + weight),
+                              chance[suffix])
             word = grams.sequence[sample]
-            ahead = state_of[k] if k < order - 1 else state_of[k - 1][suffix]
+            ahead = longest[k] if k < order - 1 else longest[k - 1][suffix]
             arc_key.append((state_of[k - 1][context] * self.width + word)[seen])
             arc_cost.append(np.log10(chance[seen]))
-            arc_next.append(np.where(ahead > 0, ahead, state_of[k - 1][suffix])[seen])
+            arc_next.append(ahead[seen])
             contexts = np.flatnonzero(state_of[k - 1])
             own = state_of[k - 1][contexts]
             total = counts[k - 1][contexts].astype(np.float64)
@@ -298,7 +361,8 @@ def traverse(automaton, sequence, starts):
     return scores
 
 
-def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER, weight=WEIGHT):
+def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER, weight=WEIGHT,
+                least=LEAST):
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
     bucket = crc_bucket(quoted(id_col), folds)
     given = docs.select(quoted(id_col).alias("doc_id"),
@@ -306,10 +370,9 @@ def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER
                         quoted(text).cast("string").alias("text"))
     id_field = given.schema["doc_id"]
     blocks = encode(given, id_field.dataType)
-    answers = totals(blocks, order)
-    told = [from_planes(bytes(r["totals"]), np.int64)
-            for r in answers.filter("block = -1").select("totals").toLocalIterator()]
-    tokens, distinct = (int(x) for x in np.sum(told, axis=0)) if told else (0, 0)
+    size = blocks.agg(F.sum("tokens")).first()[0] or 0
+    answers = totals(blocks, size, order, least)
+    tokens, distinct = (x or 0 for x in answers.agg(F.sum("tokens"), F.sum("distinct")).first())
     schema = T.StructType([
         id_field, T.StructField("held_out", T.BooleanType()),
         *[T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")],
@@ -318,9 +381,7 @@ def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER
     def score(key: tuple[pa.Scalar, ...], block: pa.Table, answer: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
         grams = grams_of(row, order)
-        parts = answer.sort_by("place").column("totals").to_pylist()
-        every = np.concatenate([from_planes(x, np.int64) for x in parts])
-        counts = np.split(every, np.cumsum([len(k) for k in grams.keys])[:-1])
+        counts = told(grams, answer, order, least)
         begin, size = grams.starts[:-1] + 1, np.diff(grams.starts) - 1
         single = counts[0][grams.at[0]]
         known = np.add.reduceat(np.where(grams.counted, single > 0, False).astype(np.int64),
@@ -329,7 +390,7 @@ def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER
         if tokens:
             each = np.log10((single + 1) / (tokens + distinct + 1))
             base = np.add.reduceat(np.where(grams.counted, each, 0.0), grams.starts[:-1])
-            automaton = Automaton(grams, counts, tokens, distinct, weight)
+            automaton = Automaton(grams, counts, tokens, distinct, weight, least)
             score_ = traverse(automaton, grams.sequence, grams.starts)
         ids = pa.concat_arrays([c.flatten() for c in block.column("ids").chunks])
         held_out = [not t for t in row["train"]]
@@ -338,5 +399,5 @@ def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER
             pa.array(np.full(len(size), tokens)), pa.array(base, pa.float64()),
             pa.array(score_, pa.float64())], names=[f.name for f in schema])
 
-    theirs = answers.filter("block >= 0")
-    return blocks.groupBy("block").cogroup(theirs.groupBy("block")).applyInArrow(score, schema)
+    return by_block(blocks, size).cogroup(
+        by_block(answers.select("place", "block", "totals"), size)).applyInArrow(score, schema)

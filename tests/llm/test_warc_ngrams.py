@@ -78,7 +78,7 @@ def test_damage_is_noticed(spark, tmp_path):
                           str(tmp_path)).collect()
 
 
-def chances(rows, order, weight):
+def chances(rows, order, weight, least):
     """Probability of a word after a history, straight from the definition."""
     counts = [Counter() for _ in range(order)]
     for i, own in rows:
@@ -95,21 +95,22 @@ def chances(rows, order, weight):
             return ((c - 0.75) / total if c else 0) + 0.75 * distinct / total / (distinct + 1)
         lower_chance = chance(history[1:], word)
         seen = starts if history == (b"",) else counts[len(history) - 1][history]
-        if not seen:
+        if seen < (least if len(history) > 1 else 1):
             return lower_chance
         return (counts[len(history)][*history, word] + weight * lower_chance) / (seen + weight)
 
     return chance, total, distinct, counts[0]
 
 
-@pytest.mark.parametrize("which,order,block", [("small", 2, 4000), ("small", 3, 9000),
-                                               ("awkward", 2, 1000), ("awkward", 1, 500)])
-def test_scores_by_definition(spark, monkeypatch, which, order, block):
+@pytest.mark.parametrize("which,order,least,block", [
+    ("small", 2, 2, 4000), ("small", ngrams.ORDER, ngrams.LEAST, 9000), ("small", 3, 1, 9000),
+    ("small", 4, 3, 20000), ("awkward", 3, 2, 1000), ("awkward", 1, 1, 500)])
+def test_scores_by_definition(spark, monkeypatch, which, order, least, block):
     monkeypatch.setattr(ngrams, "BLOCK", block)
     monkeypatch.setattr(ngrams, "KEYS_PER_TASK", 5000)
     docs = table(spark, SMALL, "documents").repartition(3) if which == "small" else awkward(spark)
     rows = [(r["doc_id"], [lower(w) for w in words(r["text"])]) for r in docs.collect()]
-    chance, total, distinct, single = chances(rows, order, 50.0)
+    chance, total, distinct, single = chances(rows, order, 50.0, least)
     wanted = []
     for i, own in rows:
         s = [b"", *own, b""]
@@ -118,7 +119,7 @@ def test_scores_by_definition(spark, monkeypatch, which, order, block):
         base = sum(math.log10((single[w,] + 1) / (total + distinct + 1)) for w in s[1:])
         wanted.append((i, i is not None and zlib.crc32(str(i).encode()) % 7 == 2, len(s) - 1,
                        sum(single[w,] > 0 for w in s[1:]), total, base, score))
-    found = ngrams.text_scores(docs, order=order, weight=50.0).collect()
+    found = ngrams.text_scores(docs, order=order, weight=50.0, least=least).collect()
     for a, b in zip(sorted(map(tuple, found), key=str), sorted(wanted, key=str), strict=True):
         assert a[:5] == b[:5]
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
@@ -126,7 +127,7 @@ def test_scores_by_definition(spark, monkeypatch, which, order, block):
 
 def test_chances_sum_to_one():
     rows = [(None, b"a b a c a b".split()), (None, b"b a".split())]
-    chance, _, _, single = chances(rows, 3, 50.0)
+    chance, _, _, single = chances(rows, 3, 50.0, 2)
     for history in ((), (b"a",), (b"b", b"a"), (b"",)):
         known = sum(chance(history, w) for (w,) in single)
         assert known + chance(history, b"never seen") == pytest.approx(1)
