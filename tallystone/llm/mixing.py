@@ -1,26 +1,29 @@
 """Mix sources to target weights by weighted fair queueing, on DataFrame operations alone.
 
-Each source's documents are shuffled by a digest of their id and queue up one behind the
-other, then the whole queue again, up to ``repeats`` times. A copy's virtual finish time is
-its source's words so far over the source's target. Sorted by that time over all sources,
+Each source's documents are shuffled by a digest of their id and text and queue up one behind
+the other, then the whole queue again, up to ``repeats`` times. A copy's virtual finish time
+is its source's words so far over the source's target. Sorted by that time over all sources,
 copies are taken until the next one would exceed the total budget.
 
-Both running sums are taken in two levels, over about sqrt(n) ranges of the order and
-within each range, so no window holds a whole source or the whole queue.
+Both running sums follow a global range sort and are taken in two levels, over the ranges and
+within each range, so no window holds a whole source or the whole queue. The place of a row
+in its table is the last sort key: rows with equal ids, texts or times, however many, are
+split over ranges like any others.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in the
 order of weights; rows repeated whole are separate documents; an empty table gives an empty
-result; a null id sorts as an empty text. Other columns are never looked at, and come back
-with ``mixed_documents``.
+result; a null id counts as an empty text in the digest. Other columns are never looked at,
+and come back with ``mixed_documents``; of rows equal in id, text and source, earlier ones
+are taken first.
 """
 
-import math
-
 from pyspark.sql import Window, functions as F
 
 from .common import WORD, identified, materialize, quoted, unused
 
 CYCLE = (1, 2, 3)
+#: Rows of a range of the sort at most, about; smaller where that keeps more tasks busy.
+RANGE, SMALL = 1_000_000, 10_000
 
 
 def targets(sizes, repeats=3, weights=CYCLE):
@@ -51,42 +54,42 @@ def targets(sizes, repeats=3, weights=CYCLE):
         F.least(F.col("limit").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def running_sum(df, group, band, order, amount, name):
-    """``amount`` summed along ``order`` within ``group``; ``band`` rises with that order."""
-    bands = df.groupBy(*group, band).agg(F.sum(amount).alias("in_band"))
-    along = Window.partitionBy(*group).orderBy(band)
+def running_sum(df, rows, group, order, amount, name):
+    """``amount`` summed along ``order`` within ``group``, after a global sort into ranges."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(-(-rows // RANGE), min(tasks, -(-rows // SMALL)), 1)
+    df = materialize(df.repartitionByRange(ranges, *group, *order).withColumn(
+        "band", F.spark_partition_id()), "mix-ranges")
+    bands = df.groupBy(*group, "band").agg(F.sum(amount).alias("in_band"))
+    along = Window.partitionBy(*group).orderBy("band")
     bands = bands.withColumn("before", F.coalesce(
         F.sum("in_band").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    right = bands.select(*[F.col(c).alias(f"r_{c}") for c in (*group, band)], "before")
-    same = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in (*group, band)]
-    joined = df.join(right, same).drop(*[f"r_{c}" for c in (*group, band)])
-    within = Window.partitionBy(*group, band).orderBy(*order)
+    right = bands.select(*[F.col(c).alias(f"r_{c}") for c in (*group, "band")], "before")
+    same = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in (*group, "band")]
+    joined = df.join(right, same).drop(*[f"r_{c}" for c in (*group, "band")])
+    within = Window.partitionBy(*group, "band").orderBy(*order)
     return joined.withColumn(
         name, F.col("before") + F.sum(amount).over(
             within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).drop("before")
+    ).drop("before", "band")
 
 
 def queued(docs, carried=(), id_col="doc_id", text="text", source="source", repeats=3,
            weights=CYCLE):
     """Every document with size, source_size, target and ``copies`` taken of it."""
-    rows = docs.count()
-    bands = max(1, math.isqrt(rows))
-    digest = F.md5(F.coalesce(quoted(id_col).cast("string"), F.lit("")))
-    sized = docs.select(
+    digest = F.md5(F.concat_ws("\x1f", F.coalesce(quoted(id_col).cast("string"), F.lit("")),
+                               F.coalesce(quoted(text).cast("string"), F.lit(""))))
+    sized = materialize(docs.select(
         F.struct(*[quoted(c) for c in carried]).alias("doc") if carried else
         quoted(id_col).alias("doc_id"),
         quoted(source).alias("source"), digest.alias("digest"),
         F.coalesce(F.regexp_count(quoted(text), F.lit(WORD)), F.lit(0)).cast("long")
-        .alias("size"),
-    ).withColumn("band", F.floor(
-        F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * bands / F.lit(2 ** 32)))
-    sized = materialize(sized, "mix-sizes")
+        .alias("size"), F.monotonically_increasing_id().alias("place")), "mix-sizes")
+    rows = sized.count()
     goals = materialize(
         targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), repeats,
                 weights), "mix-targets")
-    order = ["digest", "size"]
-    queue = running_sum(sized, ["source"], "band", order, "size", "ahead")
+    queue = running_sum(sized, rows, ["source"], ["digest", "place"], "size", "ahead")
     queue = materialize(queue.join(
         goals.withColumnRenamed("source", "r_source"),
         F.col("source").eqNullSafe(F.col("r_source"))).drop("r_source"), "mix-queue")
@@ -96,24 +99,21 @@ def queued(docs, carried=(), id_col="doc_id", text="text", source="source", repe
         return F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0))
 
     turns = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    copies = queue.select("digest", "size", "ahead", "target", "source_size",
-                          turns.alias("turn")).select(
-        "digest", "size", "turn", finish(F.col("turn")).alias("finish"))
-    steps = max(1, math.isqrt(rows * repeats))
-    line = copies.withColumn("step", F.floor(F.when(
-        F.col("finish") <= 1, F.col("finish") * steps).otherwise(
-        steps * (1 + F.log2("finish")))))
+    line = queue.select("digest", "place", "size", "ahead", "target", "source_size",
+                        turns.alias("turn")).select(
+        "digest", "place", "size", "turn", finish(F.col("turn")).alias("finish"))
     budget = goals.agg(F.sum("source_size")).first()[0] or 0
-    line = running_sum(line, [], "step", ["finish", "digest", "size", "turn"], "size", "total")
-    place = F.struct("finish", "digest", "size", "turn")
-    last = line.filter(F.col("total") <= budget).agg(F.max(place).alias("last")).first()["last"]
+    order = ["finish", "digest", "place", "turn"]
+    line = running_sum(line, rows * repeats, [], order, "size", "total")
+    last = line.filter(F.col("total") <= budget).agg(
+        F.max(F.struct(*order)).alias("last")).first()["last"]
     if last is None:
         taken = F.lit(0)
     else:
         kinds = ("double", "string", "long", "int")
         end = F.struct(*[F.lit(v).cast(kind) for v, kind in zip(last, kinds)])
         taken = sum((F.when(
-            F.struct(finish(F.lit(t)).alias("finish"), "digest", "size",
+            F.struct(finish(F.lit(t)).alias("finish"), "digest", "place",
                      F.lit(t).alias("turn")) <= end, 1).otherwise(0)
             for t in range(repeats)), F.lit(0))
     return queue.withColumn("copies", taken)
@@ -138,7 +138,8 @@ def mixed_documents(docs, id_col="doc_id", text="text", source="source", **optio
 
 ORACLE = r"""
 WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(cast(doc_id AS varchar), '')) AS digest,
+  SELECT doc_id, source,
+         md5(coalesce(cast(doc_id AS varchar), '') || chr(31) || coalesce(text, '')) AS digest,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
   FROM documents),
 ranked AS (

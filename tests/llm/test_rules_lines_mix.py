@@ -107,3 +107,34 @@ def test_mix_meets_targets(spark):
     for target, r in sums.iterrows():
         assert abs(r["taken"] - target) <= 50 and target <= 3 * r["size"] + 1e-6
     assert found["taken"].sum() <= found["size"].sum()
+
+
+def test_equal_rows_are_split_and_taken_alike(spark, monkeypatch):
+    """A third of all rows is one row, without an id; no range of the sort grows with it."""
+    monkeypatch.setattr(mixing, "RANGE", 500)
+    rows = [document(None, plain(5), source="a")] * 1000 + [
+        document(i, plain(1 + i % 9), source="ab"[i % 2]) for i in range(1000)] + [
+        document(5000 + i, None, source="c") for i in range(1000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    sizes, real = [], mixing.materialize
+
+    def watched(df, label):
+        made = real(df, label)
+        if label == "mix-ranges":
+            sizes.extend(r["count"] for r in made.groupBy("band").count().collect())
+        return made
+
+    monkeypatch.setattr(mixing, "materialize", watched)
+    found = mixing.mixed_sizes(docs).collect()
+    assert max(sizes) <= 1500 and sum(sizes) == 4 * len(rows)
+    assert sorted(map(str, found)) == sorted(map(str, mixing.mixed_sizes(docs).collect()))
+    total = sum(r["size"] for r in found)
+    assert total - 27 <= sum(r["taken"] for r in found) <= total
+    for target in {r["target"] for r in found}:
+        taken = sum(r["taken"] for r in found if r["target"] == target)
+        assert abs(taken - target) <= 27
+    mixed = mixing.mixed_documents(docs)
+    assert Counter((r["doc_id"], r["text"]) for r in mixed.collect()) == sum(
+        (Counter({(r["doc_id"], t): r["taken"] // r["size"]}) for r, t in (
+            (r, plain(r["size"])) for r in found if r["size"])), Counter()) + Counter(
+        {(r["doc_id"], None): 3 for r in found if not r["size"]})
