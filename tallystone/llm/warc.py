@@ -19,6 +19,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
@@ -46,7 +47,7 @@ def record(name, url, payload, digest, refers_to, date):
     block = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d"
              b"\r\n\r\n" % len(payload))
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: <urn:record:{name}>", f"WARC-Date: {date}",
+             f"WARC-Record-ID: <urn:record:{quote(str(name))}>", f"WARC-Date: {date}",
              f"WARC-Payload-Digest: sha256:{digest}",
              "Content-Type: application/http; msgtype=response"]
     if url is not None:
@@ -55,7 +56,7 @@ def record(name, url, payload, digest, refers_to, date):
     if refers_to is None:
         block += payload
     else:
-        lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: <urn:record:{refers_to}>"]
+        lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: <urn:record:{quote(str(refers_to))}>"]
     lines.append(f"Content-Length: {len(block)}")
     head = "\r\n".join(lines).encode("utf-8", "surrogateescape")
     return head + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -182,7 +183,7 @@ def read_records(index, folder, with_payload=True):
         *([T.StructField("payload", T.BinaryType())] if with_payload else [])])
 
     def urn(value):
-        return value and value.removeprefix("<urn:record:").removesuffix(">")
+        return value and unquote(value.removeprefix("<urn:record:").removesuffix(">"))
 
     def read(batches):
         system, path = file_system(folder)

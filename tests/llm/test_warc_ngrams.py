@@ -140,3 +140,12 @@ def test_nothing_to_learn_from(spark):
     row = ngrams.text_scores(only).collect()[0]
     assert row["held_out"] and row["train_tokens"] == 0 and row["n_known"] == 0
     assert row["n_tokens"] == 3 and row["score"] is None and row["base_score"] is None
+
+
+def test_ids_that_would_break_a_head(spark, tmp_path):
+    ids = ["a\r\nWARC-Type: revisit", "<b>", "ü 1%20", "z"]
+    rows = spark.createDataFrame([(i, "u", "same" * 50) for i in ids],
+                                 "page_id string, url string, html string")
+    found = warc.read_records(warc.write_archives(rows, str(tmp_path)), str(tmp_path)).collect()
+    assert {r["record_id"] for r in found} == set(ids)
+    assert {r["refers_to"] for r in found} == {None, min(ids)}
