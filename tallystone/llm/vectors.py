@@ -2,8 +2,9 @@
 
 Equal vectors of a label are one node. Nodes go to their ``OVERLAP`` nearest centroids
 (k-means on a bounded sample, for each length that needs several shards), and each label and centroid is a shard; shards too large for
-one task are cut into blocks by hash. In each block every node gets neighbours that robust
-pruning leaves of its nearest ones and of a few random ones, and edges back; what the medoid
+one task are cut into blocks by hash. In each block nodes are inserted batch by batch: a greedy
+search from the medoid through the graph so far meets candidates, of which robust pruning
+leaves the node's neighbours; a few random ones and edges back are added. What the medoid
 cannot reach is tied to its nearest node that it can. A node's lists from all its shards are
 united. Then every block, and every pair of blocks of a cut-up shard, is searched: from the
 medoids a beam of nodes moves greedily towards each node's own vector, and from all that came
@@ -29,9 +30,11 @@ from .components import connected
 
 #: Vectors that centroids are fitted on; rows of a shard; centroids at most.
 SAMPLE, SHARD, CENTROIDS = 20_000, 1000, 1024
-BLOCK, OVERLAP = 1500, 2
+#: A block holds more than a shard has with overlap, so only uneven shards are cut.
+BLOCK, OVERLAP = 4000, 2
 NEAREST, KEPT, RANDOM, BACK, ALPHA = 32, 16, 6, 16, 1.2
-BEAM, SLACK, TOGETHER = 24, 0.02, 256
+#: Queries searched together; links followed together while a search spreads.
+BEAM, SLACK, TOGETHER, FRONT = 24, 0.02, 256, 50_000
 
 
 def unit(vectors):
@@ -86,33 +89,40 @@ def build(x, seed=0):
     """Neighbour lists (row: node, -1 pads) of a block and its medoid."""
     n = len(x)
     rng = np.random.default_rng(seed)
-    cosine = x @ x.T
-    distance = np.sqrt(np.maximum(0, 2 - 2 * cosine))
-    medoid = int(np.argmax(cosine.sum(axis=1)))
-    if n == 1:
-        return np.full((1, 1), -1), medoid
-    np.fill_diagonal(distance, np.inf)
-    take = min(NEAREST, n - 1)
-    near = np.argpartition(distance, take - 1, axis=1)[:, :take]
-    gap = np.take_along_axis(distance, near, axis=1)
-    order = np.argsort(gap, axis=1)
-    near, gap = np.take_along_axis(near, order, axis=1), np.take_along_axis(gap, order, axis=1)
-    between = distance[near[:, :, None], near[:, None, :]]
-    lists = [pruned(near, gap, between, min(KEPT, take))]
-    far = rng.integers(0, n, (n, RANDOM))
-    far[far == np.arange(n)[:, None]] = medoid
-    lists.append(far)
-    made = np.concatenate(lists, axis=1)
-    a, b = np.repeat(np.arange(n), made.shape[1]), made.ravel()
-    a, b = a[b >= 0], b[b >= 0]
-    # edges back, the nearest first, up to a limit per node
-    order = np.lexsort((distance[a, b], b))
-    a, b = a[order], b[order]
-    rank = np.arange(len(b)) - np.searchsorted(b, b)
-    a, b = a[rank < BACK], b[rank < BACK]
-    back = np.full((n, BACK), -1)
-    back[b, rank[rank < BACK]] = a
-    made = np.concatenate([made, back], axis=1)
+    medoid = int(np.argmax(x @ x.sum(axis=0)))
+    own = KEPT + RANDOM
+    made, gaps = np.full((n, own + BACK), -1), np.full((n, BACK), np.inf)
+    turn = rng.permutation(n)
+    turn = np.concatenate([[medoid], turn[turn != medoid]])
+    done = 0
+    while done < n and n > 1:
+        new = turn[done:done + min(TOGETHER, max(done, NEAREST))]
+        met = search(x, made, [medoid], new, 2.0) if done else np.full((len(new), n), -2.0)
+        met[:, new] = x[new] @ x[new].T
+        met[np.arange(len(new)), new] = -2
+        done += len(new)
+        near = np.argpartition(-met, min(NEAREST, n) - 1, axis=1)[:, :NEAREST]
+        value = np.take_along_axis(met, near, axis=1)
+        order = np.argsort(-value, axis=1)
+        near, value = (np.take_along_axis(y, order, axis=1) for y in (near, value))
+        gap = np.where(value > -2, np.sqrt(np.maximum(0, 2 - 2 * value)), np.inf)
+        between = np.sqrt(np.maximum(0, 2 - 2 * (x[near] @ x[near].transpose(0, 2, 1))))
+        made[new, :KEPT] = pruned(near, gap, between, KEPT)
+        far = turn[rng.integers(0, done, (len(new), RANDOM))]
+        made[new, KEPT:own] = np.where(far == new[:, None], medoid, far)
+        # edges back, the nearest first, up to a limit per node
+        a, b = np.repeat(new, own), made[new, :own].ravel()
+        a, b = a[(b >= 0) & (a != b)], b[(b >= 0) & (a != b)]
+        gap = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", x[a], x[b])))
+        ends, b = np.unique(b, return_inverse=True)
+        a = np.concatenate([made[ends, own:].ravel(), a])
+        b = np.concatenate([np.repeat(np.arange(len(ends)), BACK), b])
+        gap = np.concatenate([gaps[ends].ravel(), gap])
+        order = np.lexsort((gap, b))
+        a, b, gap = a[order], b[order], gap[order]
+        rank = np.arange(len(b)) - np.searchsorted(b, b)
+        a, b, gap, rank = (y[rank < BACK] for y in (a, b, gap, rank))
+        made[ends[b], own + rank], gaps[ends[b], rank] = a, gap
     reached = np.zeros(n, bool)
     front = np.array([medoid])
     ties = []
@@ -124,9 +134,9 @@ def build(x, seed=0):
         lost = np.flatnonzero(~reached)
         if not len(lost):
             break
-        inside = np.flatnonzero(reached)
-        nearest = distance[np.ix_(inside, lost)]
-        at = np.unravel_index(nearest.argmin(), nearest.shape)
+        inside, lost = np.flatnonzero(reached), lost[:TOGETHER]
+        nearest = x[inside] @ x[lost].T
+        at = np.unravel_index(nearest.argmax(), nearest.shape)
         ties.append((inside[at[0]], lost[at[1]]))
         front = np.array([lost[at[1]]])
     if ties:
@@ -174,19 +184,17 @@ def search(x, lists, entries, queries, reach):
             beam = np.where(short, top, beam)
         else:
             beam = np.where(both >= 0, both, both[:, :1])
-    seen = np.zeros((q, n), bool)
-    who, what = np.nonzero(met >= reach)
+    flat, (who, what) = met.ravel(), np.nonzero(met >= reach)
     while len(who):
-        seen[who, what] = True
-        ahead = lists[what]
-        line, place = np.nonzero(ahead >= 0)
-        code = np.unique(who[line] * n + ahead[line, place])
-        code = code[met.ravel()[code] == -2]
+        spread = [np.empty(0, np.int64)]
+        for start in range(0, len(who), FRONT):
+            ahead = lists[what[start:start + FRONT]]
+            code = (who[start:start + FRONT, None] * n + ahead)[ahead >= 0]
+            code = np.unique(code[flat[code] == -2])
+            flat[code] = np.einsum("ij,ij->i", targets[code // n], x[code % n])
+            spread.append(code[flat[code] >= reach])
+        code = np.concatenate(spread)
         who, what = code // n, code % n
-        if len(code):
-            met[who, what] = np.einsum("ij,ij->i", targets[who], x[what])
-            near = met[who, what] >= reach
-            who, what = who[near], what[near]
     return met
 
 
@@ -293,16 +301,24 @@ def linked_nodes(nodes, threshold):
             queries = np.arange(start, min(start + TOGETHER, len(ids)))
             pairs[queries] = search(x, lists, entries, queries, threshold - SLACK) >= threshold
         pairs |= pairs.T
-        a, b = np.nonzero(np.triu(pairs, 1))
-        # the lowest shard that both belong to counts the pair
-        common = np.where((homes[a][:, :, None] == homes[b][:, None, :])
-                          & (homes[a][:, :, None] >= 0), homes[a][:, :, None], 1 << 30)
-        mine = common.min(axis=(1, 2)) == shard
-        if cross:
-            mine &= block[a] != block[b]
-        a, b = a[mine], b[mine]
-        links = np.bincount(a, weight[b], len(ids)) + np.bincount(b, weight[a], len(ids))
-        roots = lowest(np.arange(len(ids)), a, b)
+        links, ties = np.zeros(len(ids)), [np.empty((2, 0), np.int64)]
+        for start in range(0, len(ids), TOGETHER):
+            a, b = np.nonzero(pairs[start:start + TOGETHER])
+            a += start
+            a, b = a[a < b], b[a < b]
+            # the lowest shard that both belong to counts the pair
+            common = np.where((homes[a][:, :, None] == homes[b][:, None, :])
+                              & (homes[a][:, :, None] >= 0), homes[a][:, :, None], 1 << 30)
+            mine = common.min(axis=(1, 2), initial=1 << 30) == shard
+            if cross:
+                mine &= block[a] != block[b]
+            a, b = a[mine], b[mine]
+            links += np.bincount(a, weight[b], len(ids)) + np.bincount(b, weight[a], len(ids))
+            # of a portion's links only those that tie its groups together are kept
+            low = lowest(np.arange(len(ids)), a, b)
+            tied = np.flatnonzero(low != np.arange(len(ids)))
+            ties.append(np.array([tied, low[tied]]))
+        roots = lowest(np.arange(len(ids)), *np.concatenate(ties, axis=1))
         kept = np.flatnonzero(links > 0)
         return pa.table([pa.array(ids[kept]), pa.array(links[kept].astype(np.int64)),
                          pa.array(ids[roots[kept]])], names=["node", "links", "root"])
