@@ -102,6 +102,17 @@ def encode(given, id_type):
     return materialize(given.mapInArrow(run, schema), "lm-blocks")
 
 
+def distinct_keys(keys):
+    """Sorted distinct keys, a position of each, and each position's place among them."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], at
+
+
 class Grams:
     """The n-grams of a block by order, each position's n-gram being the one that ends there.
 
@@ -132,14 +143,21 @@ class Grams:
                 key ^= key >> np.uint64(31)
             # an n-gram does not reach into the text before; the mark at the start is one itself
             valid = offset >= k - 1
-            found, sample, at = np.unique(key[valid], return_index=True, return_inverse=True)
             where = np.flatnonzero(valid)
             place = np.full(size, -1, np.int64)
-            place[where] = at
+            if k == 1:
+                # every word of the block occurs, so its words are sorted and not its positions
+                found, spot, rank = distinct_keys(hashes)
+                last = np.zeros(self.width, np.int64)
+                last[self.sequence] = where
+                sample, place = last[spot], rank[self.sequence]
+            else:
+                found, sample, place[where] = distinct_keys(key[where])
+                sample = where[sample]
             told = learned & valid & self.counted
             self.keys.append(found)
             self.at.append(place)
-            self.sample.append(where[sample])
+            self.sample.append(sample)
             self.train.append(np.bincount(place[told], minlength=len(found)).astype(np.int32))
 
 
@@ -177,7 +195,7 @@ def added(ranges):
                 for x in table.column("keys").to_pylist()]
         counts = np.concatenate([from_planes(x, np.int32)
                                  for x in table.column("counts").to_pylist()])
-        at = np.unique(np.concatenate(keys), return_inverse=True)[1]
+        at = distinct_keys(np.concatenate(keys))[2]
         total = np.bincount(at, counts).astype(np.int64)
         cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
         answer = total[at]
