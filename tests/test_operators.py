@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from tallystone.model import NO_FACILITY
 from tallystone.operators.balances import net_funds, running_balance
-from tallystone.operators.conflicts import collapse_copies, keep_first
+from tallystone.operators import conflicts
+from tallystone.operators.conflicts import apart, collapse_apart, collapse_copies, keep_first
 from tallystone.operators.numbering import number_copies
 from tallystone.operators.skew import heavy_keys, salted_lookup
 
@@ -119,3 +120,28 @@ def test_a_key_with_half_the_rows_is_cut_by_its_size(spark):
                                                      "id", "k", "v")
     sizes = facts.groupBy("k").agg(F.count("*").alias("rows"))
     assert rows_of(heavy_keys(sizes, ["k"], heavy=1000, piece=100)) == [("hot", 20)]
+
+
+@pytest.mark.parametrize("words", [1, 4096])
+def test_many_repeated_keys_are_told_apart_without_a_shuffle_of_rows(spark, words):
+    rows = [(i, None if i % 50 == 0 else f"k{i % 400}", i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, k string, v int")
+    split = apart(df, "k", held=10, words=words)
+    plan = split.single._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows_of(split.single.unionByName(split.repeated)) == rows_of(df)
+    assert split.single.groupBy("k").count().filter("count > 1").isEmpty()
+    assert split.single.join(split.repeated, "k", "left_semi").isEmpty()
+    assert words == 1 or not split.single.isEmpty()
+    assert rows_of(collapse_apart(split, ["k"], ["v"])) == rows_of(
+        collapse_copies(df, ["k"], ["v"]))
+
+
+def test_rows_are_taken_apart_by_several_keys(spark):
+    rows = [("a", None), ("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 1), (None, None), (None, 1)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    for held in (conflicts.HELD, 0):
+        split = apart(df, ["k", "n"], held)
+        assert rows_of(split.repeated) == [("b", 1)] * 2 + [(None, 1)] * 2
+        assert rows_of(split.single) == rows_of(df.filter(
+            "k = 'a' or (k is null and n is null)"))
