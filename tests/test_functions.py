@@ -8,6 +8,7 @@ from tallystone.functions import (
     accounting_amount, any_date, currency, ledger_date, match_key, rate, short_us_date,
     status_code,
 )
+from tallystone.functions.keys import packed, unpacked
 
 
 def results(spark, function, texts):
@@ -54,3 +55,14 @@ CASES = [
 @pytest.mark.parametrize("function,expected", CASES, ids=[f.__name__ for f, _ in CASES])
 def test_column_function(spark, function, expected):
     assert results(spark, function, list(expected)) == list(expected.values())
+
+
+def test_digests_travel_as_sixteen_bytes_and_any_text_comes_back(spark):
+    digest = "0123456789abcdef0123456789abcdef"
+    texts = [digest, digest.upper(), digest[1:], "", "x" * 16, "z" * 32, "\u00e4" * 16, None, "\0"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", packed(F.col("t")).alias("p"))
+    got = df.select("t", unpacked(F.col("p")), F.length("p")).collect()
+    assert [r[1] for r in got] == [r[0] for r in got]
+    assert [r[0] for r in got if r[2] == 16] == [digest]
+    assert df.select("p").distinct().count() == len(texts)
