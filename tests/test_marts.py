@@ -1,3 +1,4 @@
+import re
 from decimal import Decimal
 
 import pytest
@@ -7,10 +8,10 @@ from tallystone.model import DIM_FACILITY, FACT, empty
 from tallystone.operators.scd2 import scd2_merge
 from tallystone.operators.upsert import upsert_outcomes
 from tallystone.plans import intake, portfolio, quality, serving
-from tallystone.plans.facilities import facilities
+from tallystone.plans.facilities import agreed_facilities, facilities
 from tallystone.plans.marts import (
-    BuiltMarts, Exports, current_members, fact_source, first_fact, load_facilities, load_fact,
-    resolve_orphans,
+    BuiltMarts, Exports, current_members, fact_source, first_corrected, first_facilities,
+    first_fact, load_facilities, load_fact, resolve_orphans,
 )
 from tallystone.plans.organizations import organizations
 from tallystone.plans.transactions import parse_transactions, resolve_transactions
@@ -165,6 +166,36 @@ class Damaged:
         self.fact = tables.get("fact", marts.fact)
 
 
+def test_digests_of_facilities_stay_out_of_the_join_with_balances(spark):
+    marts = book(spark)
+    agreed = agreed_facilities(marts.exports.fac)
+    assert rows_of(first_facilities(agreed, FIRST)) == rows_of(marts.stated)
+    found = first_corrected(agreed, marts.fact, FIRST)
+    assert found.columns == DIM_FACILITY.fieldNames()
+    assert rows_of(found) == rows_of(marts.facility)
+    joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+    joined = joined.split("NULL FACILITY AS facility_id")[0]  # the guard comes after
+    assert "organization_sk" in joined
+    assert "change_tracking_key" not in joined and "scd_id" not in joined
+
+
+def test_heavy_facilities_are_found_without_shuffling_every_id(spark):
+    marts = book(spark)
+    found = fact_source(marts.staged, marts.stated, marts.exports.led)
+    assert "_bucket" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(found) == rows_of(fact_source(marts.staged, marts.stated))
+
+
+def test_only_ids_that_may_repeat_are_counted_by_id(spark):
+    marts = book(spark)
+    staged = organizations(marts.exports.crm, marts.exports.fac), facilities(marts.exports.fac)
+    found = quality.integrity_checks(marts, *staged)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    for key in ("transaction_id", "facility_sk"):
+        assert re.search(rf"Relation \[{key}#\d+\] parquet", plan)
+    assert failing(found) == set()
+
+
 def failing(df):
     return {r[0] for r in df.collect() if r.result == "FAIL"}
 

@@ -11,7 +11,7 @@ from tallystone.operators.balances import net_funds, running_balance
 from tallystone.operators import conflicts
 from tallystone.operators.conflicts import apart, collapse_apart, collapse_copies, keep_first
 from tallystone.operators.numbering import number_copies
-from tallystone.operators.skew import heavy_keys, salted_lookup
+from tallystone.operators.skew import heavy_keys, salted_lookup, sizes_of_heavy
 
 from helpers import rows_of
 
@@ -122,6 +122,16 @@ def test_a_key_with_half_the_rows_is_cut_by_its_size(spark):
     assert rows_of(heavy_keys(sizes, ["k"], heavy=1000, piece=100)) == [("hot", 20)]
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_heavy_keys_are_found_by_bucket(spark, buckets):
+    facts = spark.createDataFrame(skewed(), "id int, k string")
+    whole = facts.groupBy("k").agg(F.count("*").alias("rows"))
+    found = sizes_of_heavy(facts, ["k"], heavy=150, buckets=buckets)
+    assert rows_of(found.filter("rows > 150")) == rows_of(whole.filter("rows > 150"))
+    assert found.exceptAll(whole).isEmpty()
+    assert buckets < 4096 or found.count() < whole.count()
+
+
 @pytest.mark.parametrize("words", [1, 4096])
 def test_many_repeated_keys_are_told_apart_without_a_shuffle_of_rows(spark, words):
     rows = [(i, None if i % 50 == 0 else f"k{i % 400}", i % 3) for i in range(600)]
