@@ -15,6 +15,9 @@ are added up over all blocks, and every block gets the totals of the n-grams it
 the part of the automaton that its own texts can reach. Single tokens and pairs go first;
 of longer n-grams only those are asked for whose context has proved frequent enough. So
 memory follows the block, and the counts follow the corpus. N-grams travel as 64-bit hashes.
+A task takes about ``PER_TASK`` blocks or hash ranges, one after the other, so that files and
+sort buffers are fewer. Places in a block are 32-bit numbers, and a step keeps only the hashes
+and counts that it sends.
 A text longer than ``BLOCK`` makes a longer block of its own.
 
 Defined cases: a null or wordless text is its end token alone; rows repeated whole all count
@@ -35,6 +38,7 @@ from .tokens import Places
 
 BLOCK = 600_000
 KEYS_PER_TASK = 1_000_000
+PER_TASK = 4
 ORDER, LEAST, WEIGHT, DISCOUNT = 3, 2, 100.0, 0.75
 
 
@@ -108,22 +112,26 @@ def distinct_keys(keys):
     ranked = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    at = np.empty(len(keys), np.int64)
-    at[order] = np.cumsum(new) - 1
-    return ranked[new], order[new], at
+    ranked = ranked[new]
+    number = np.cumsum(new, dtype=np.int32)
+    number -= 1
+    at = np.empty(len(keys), np.int32)
+    at[order] = number
+    return ranked, order[new].astype(np.int32), at
 
 
 class Grams:
     """The n-grams of a block by order, each position's n-gram being the one that ends there.
 
-    A text is preceded by an end token, which is a context and not itself counted.
+    A text is preceded by an end token, which is a context and not itself counted. Hashes and
+    training counts stay for the orders in ``kept`` only.
     """
 
-    def __init__(self, lengths, train, words, hashes, order):
+    def __init__(self, lengths, train, words, hashes, order, kept):
         lengths = np.asarray(lengths, np.int64)
         self.starts = np.concatenate([[0], np.cumsum(lengths + 2)])
         size = int(self.starts[-1])
-        self.sequence = np.zeros(size, np.int64)
+        self.sequence = np.zeros(size, np.int32)
         inside = np.ones(size, bool)
         inside[self.starts[:-1]] = False
         inside[self.starts[1:] - 1] = False
@@ -131,10 +139,11 @@ class Grams:
         self.counted = np.ones(size, bool)
         self.counted[self.starts[:-1]] = False
         learned = np.repeat(np.asarray(train, bool), lengths + 2)
-        offset = np.arange(size) - np.repeat(self.starts[:-1], lengths + 2)
+        offset = np.arange(size, dtype=np.int32)
+        offset -= np.repeat(self.starts[:-1].astype(np.int32), lengths + 2)
         self.width = len(hashes)
         key = hashes[self.sequence]
-        self.keys, self.at, self.train, self.sample = [], [], [], []
+        self.keys, self.at, self.train, self.sample = {}, [], {}, []
         for k in range(1, order + 1):
             if k > 1:
                 key = np.concatenate([key[:1], key[:-1]])
@@ -144,21 +153,22 @@ class Grams:
             # an n-gram does not reach into the text before; the mark at the start is one itself
             valid = offset >= k - 1
             where = np.flatnonzero(valid)
-            place = np.full(size, -1, np.int64)
+            place = np.full(size, -1, np.int32)
             if k == 1:
                 # every word of the block occurs, so its words are sorted and not its positions
                 found, spot, rank = distinct_keys(hashes)
-                last = np.zeros(self.width, np.int64)
+                last = np.zeros(self.width, np.int32)
                 last[self.sequence] = where
                 sample, place = last[spot], rank[self.sequence]
             else:
                 found, sample, place[where] = distinct_keys(key[where])
-                sample = where[sample]
-            told = learned & valid & self.counted
-            self.keys.append(found)
+                sample = where[sample].astype(np.int32)
             self.at.append(place)
             self.sample.append(sample)
-            self.train.append(np.bincount(place[told], minlength=len(found)).astype(np.int32))
+            if k in kept:
+                told = learned & valid & self.counted
+                self.keys[k] = found
+                self.train[k] = np.bincount(place[told], minlength=len(found)).astype(np.int32)
 
 
 def edges(keys, ranges):
@@ -172,9 +182,9 @@ def rows_of(batch):
         yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
 
 
-def grams_of(row, order):
+def grams_of(row, order, kept=()):
     return Grams(row["lengths"], row["train"], from_planes(row["words"], np.int32),
-                 from_planes(row["hashes"], np.uint64), order)
+                 from_planes(row["hashes"], np.uint64), order, kept)
 
 
 def asked(keys, counts, order, ranges, block):
@@ -216,19 +226,22 @@ def added(ranges):
 def wanted(grams, counts, order, least):
     """Which n-grams of an order can be arcs, given the totals of the order below."""
     if order <= 2:
-        return np.ones(len(grams.keys[order - 1]), bool)
+        return np.ones(len(grams.sample[order - 1]), bool)
     return counts[order - 2][grams.at[order - 2][grams.sample[order - 1] - 1]] >= least
 
 
 def told(grams, answer, order, least):
     """Totals of each order up to ``order``; of n-grams that were not asked for, 0."""
-    parts = [from_planes(x, np.int64) for x in answer.sort_by("place").column("totals").to_pylist()]
-    every, at, counts = np.concatenate(parts), 0, []
+    ranges = iter(answer.sort_by("place").column("totals"))
+    counts = []
     for k in range(1, order + 1):
-        own = wanted(grams, counts, k, least)
-        total = np.zeros(len(own), np.int64)
-        total[own] = every[at:at + int(own.sum())]
-        at += int(own.sum())
+        at = np.flatnonzero(wanted(grams, counts, k, least))
+        total = np.zeros(len(grams.sample[k - 1]), np.int64)
+        while len(at):
+            # a range holds n-grams of one order
+            part = from_planes(next(ranges).as_py(), np.int64)
+            total[at[:len(part)]] = part
+            at = at[len(part):]
         counts.append(total)
     return counts
 
@@ -246,14 +259,14 @@ def totals(blocks, tokens, order, least):
         for batch in batches:
             for row in rows_of(batch):
                 first = min(order, 2)
-                grams = grams_of(row, first)
+                grams = grams_of(row, first, range(1, first + 1))
                 for k in range(1, first + 1):
-                    yield from asked(grams.keys[k - 1], grams.train[k - 1], k, ranges,
+                    yield from asked(grams.keys.pop(k), grams.train.pop(k), k, ranges,
                                      row["block"]).to_batches()
 
     def sums(asked_for):
-        # as many tasks as ranges, so a task's share does not grow with the input
-        return materialize(asked_for.repartition(ranges, "place").groupBy("place").applyInArrow(
+        # tasks in proportion to the ranges, so a task's share does not grow with the input
+        return materialize(dealt(asked_for, "place", ranges).applyInArrow(
             added(ranges), "place long, block long, totals binary, tokens long, distinct long"),
             "lm-totals")
 
@@ -261,10 +274,9 @@ def totals(blocks, tokens, order, least):
         ask, form))
     for k in range(3, order + 1):
         def ask_longer(key: tuple[pa.Scalar, ...], block: pa.Table, answer: pa.Table) -> pa.Table:
-            grams = grams_of(block.to_pylist()[0], k)
+            grams = grams_of(block.to_pylist()[0], k, (k,))
             own = wanted(grams, told(grams, answer, k - 1, least), k, least)
-            return asked(grams.keys[k - 1][own], grams.train[k - 1][own], k, ranges,
-                         key[0].as_py())
+            return asked(grams.keys[k][own], grams.train[k][own], k, ranges, key[0].as_py())
 
         narrow = blocks.select("block", "train", "lengths", "words", "hashes")
         answers = answers.unionByName(sums(
@@ -273,8 +285,12 @@ def totals(blocks, tokens, order, least):
     return answers
 
 
+def dealt(df, name, groups):
+    return df.repartition(max(1, -(-groups // PER_TASK)), name).groupBy(name)
+
+
 def by_block(df, tokens):
-    return df.repartition(max(1, -(-tokens // BLOCK)), "block").groupBy("block")
+    return dealt(df, "block", -(-tokens // BLOCK))
 
 
 class Automaton:
@@ -320,9 +336,13 @@ class Automaton:
                               chance[suffix])
             word = grams.sequence[sample]
             ahead = longest[k] if k < order - 1 else longest[k - 1][suffix]
-            arc_key.append((state_of[k - 1][context] * self.width + word)[seen])
-            arc_cost.append(np.log10(chance[seen]))
-            arc_next.append(ahead[seen])
+            own = (state_of[k - 1][context] * self.width + word)[seen]
+            # states of longer contexts have higher numbers, so orders are sorted one by one
+            ranked = np.argsort(own)
+            arc_key.append(own[ranked])
+            arc_cost.append(np.log10(chance[seen])[ranked])
+            arc_next.append(ahead[seen][ranked])
+            del own, ranked, word, ahead, below, known, seen
             contexts = np.flatnonzero(state_of[k - 1])
             own = state_of[k - 1][contexts]
             total = counts[k - 1][contexts].astype(np.float64)
@@ -330,13 +350,9 @@ class Automaton:
             if k > 1:
                 shorter = grams.at[k - 2][grams.sample[k - 1][contexts]]
                 self.fail[own] = state_of[k - 2][shorter]
-        if arc_key:
-            arc_key, arc_cost, arc_next = map(np.concatenate, (arc_key, arc_cost, arc_next))
-        else:
-            arc_key, arc_cost, arc_next = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
-        at = np.argsort(arc_key)
-        self.arc_key = np.append(arc_key[at], np.iinfo(np.int64).max)
-        self.arc_cost, self.arc_next = arc_cost[at], arc_next[at]
+        self.arc_key = np.concatenate([*arc_key, [np.iinfo(np.int64).max]])
+        self.arc_cost = np.concatenate([*arc_cost, np.empty(0)])
+        self.arc_next = np.concatenate([*arc_next, np.empty(0, np.int64)])
         self.start = int(self.root_next[0])
 
     def follow(self, state, word):
@@ -379,6 +395,24 @@ def traverse(automaton, sequence, starts):
     return scores
 
 
+def scores_of(row, answer, order, tokens, distinct, weight, least):
+    """Of a block's texts: lengths in tokens, known tokens, base scores and scores."""
+    grams = grams_of(row, order)
+    counts = told(grams, answer, order, least)
+    single = counts[0][grams.at[0]]
+    known = np.add.reduceat(np.where(grams.counted, single > 0, False).astype(np.int64),
+                            grams.starts[:-1])
+    starts, sequence = grams.starts, grams.sequence
+    if not tokens:
+        return np.diff(starts) - 1, known, [None] * len(known), [None] * len(known)
+    each = np.log10((single + 1) / (tokens + distinct + 1))
+    base = np.add.reduceat(np.where(grams.counted, each, 0.0), starts[:-1])
+    del single, each
+    automaton = Automaton(grams, counts, tokens, distinct, weight, least)
+    del grams, counts
+    return np.diff(starts) - 1, known, base, traverse(automaton, sequence, starts)
+
+
 def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER, weight=WEIGHT,
                 least=LEAST):
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
@@ -398,18 +432,7 @@ def text_scores(docs, id_col="doc_id", text="text", folds=7, held=2, order=ORDER
 
     def score(key: tuple[pa.Scalar, ...], block: pa.Table, answer: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
-        grams = grams_of(row, order)
-        counts = told(grams, answer, order, least)
-        begin, size = grams.starts[:-1] + 1, np.diff(grams.starts) - 1
-        single = counts[0][grams.at[0]]
-        known = np.add.reduceat(np.where(grams.counted, single > 0, False).astype(np.int64),
-                                grams.starts[:-1])
-        base = score_ = [None] * len(begin)
-        if tokens:
-            each = np.log10((single + 1) / (tokens + distinct + 1))
-            base = np.add.reduceat(np.where(grams.counted, each, 0.0), grams.starts[:-1])
-            automaton = Automaton(grams, counts, tokens, distinct, weight, least)
-            score_ = traverse(automaton, grams.sequence, grams.starts)
+        size, known, base, score_ = scores_of(row, answer, order, tokens, distinct, weight, least)
         ids = pa.concat_arrays([c.flatten() for c in block.column("ids").chunks])
         held_out = [not t for t in row["train"]]
         return pa.table([

@@ -1,14 +1,18 @@
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from cases import DOCS, awkward, in_duckdb, lower, same_rows, words
 from pyspark.sql import types as T
 
 from tallystone.llm import ngrams, warc
-from tallystone.llm.common import table
+from tallystone.llm.common import materialize, table
 
 SMALL = "/root/testdata/sf0.001"
 PAGES = T.StructType([
@@ -133,6 +137,58 @@ def test_chances_sum_to_one():
         assert known + chance(history, b"never seen") == pytest.approx(1)
 
 
+def test_memory_of_a_block():
+    rng = np.random.default_rng(1)
+    size, kinds, ranges = 200_000, 30_000, 5
+    words = (rng.zipf(1.05, size) % kinds + 1).astype(np.int32)
+    words[size // 2:] = words[:size // 2]
+    hashes = rng.integers(1, 1 << 64, kinds + 1, dtype=np.uint64)
+    row = {"lengths": [200] * (size // 200), "train": [True] * (size // 200),
+           "words": ngrams.planes(words), "hashes": ngrams.planes(hashes)}
+    answers = []
+    for k in (1, 2, 3):
+        grams = ngrams.grams_of(row, k, (k,))
+        own = np.ones(len(grams.keys[k]), bool)
+        if k == 3:
+            own = ngrams.wanted(grams, ngrams.told(grams, pa.concat_tables(answers), 2, 2), 3, 2)
+        sent = ngrams.asked(grams.keys[k][own], grams.train[k][own], k, ranges, 0)
+        for place in sent.column("place"):
+            answers.append(ngrams.added(ranges)(
+                (place,), sent.filter(pc.equal(sent.column("place"), place))))
+    answer = pa.concat_tables(answers).select(["place", "totals"])
+    del grams, own, sent, answers
+    tracemalloc.start()
+    try:
+        _, known, _, scores = ngrams.scores_of(row, answer, 3, size, kinds, 100.0, 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert known.tolist() == [201] * len(known) and np.isfinite(scores).all()
+    # 121 bytes; 183 when positions took 64 bits and hashes and counts of all orders were kept
+    assert peak < 150 * size
+
+
+def test_a_task_takes_several_ranges_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK", 1000)
+    monkeypatch.setattr(ngrams, "KEYS_PER_TASK", 1000)
+    files = {}
+
+    def kept(df, label):
+        made = materialize(df, label)
+        files.setdefault(label, []).append(len(made.inputFiles()))
+        return made
+
+    monkeypatch.setattr(ngrams, "materialize", kept)
+    docs = table(spark, SMALL, "documents")
+    scores = ngrams.text_scores(docs)
+    tokens = sum(r["n_tokens"] for r in scores.collect())
+    ranges = -(-tokens // 1000)
+    assert ranges > 40
+    # each range was a task and a file of its own
+    assert len(files["lm-totals"]) == 2
+    assert all(n <= -(-ranges // ngrams.PER_TASK) for n in files["lm-totals"])
+
+
 def test_nothing_to_learn_from(spark):
     assert ngrams.text_scores(spark.createDataFrame([], DOCS)).collect() == []
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
