@@ -12,6 +12,7 @@ from tallystone.operators import conflicts
 from tallystone.operators.conflicts import apart, collapse_apart, collapse_copies, keep_first
 from tallystone.operators.numbering import number_copies
 from tallystone.operators.skew import heavy_keys, salted_lookup, sizes_of_heavy
+from tallystone.operators.upsert import upsert_apart, upsert_outcomes
 
 from helpers import rows_of
 
@@ -155,3 +156,30 @@ def test_rows_are_taken_apart_by_several_keys(spark):
         assert rows_of(split.repeated) == [("b", 1)] * 2 + [(None, 1)] * 2
         assert rows_of(split.single) == rows_of(df.filter(
             "k = 'a' or (k is null and n is null)"))
+
+
+@pytest.mark.parametrize("held", [100, 0])
+def test_upsert_shuffles_only_what_hashes_do_not_settle(spark, held):
+    """Keys that repeat, that are NULL or that have no hash come out as a plain upsert has them."""
+    def side(*rows):
+        return spark.createDataFrame(rows, "k string, change_tracking_key string, v int")
+
+    def stamped(df):
+        return df.withColumn("record_inserted_ts", F.lit("2026-01-01").cast("timestamp_ntz")
+                             ).withColumn("record_updated_ts", F.lit(None).cast("timestamp_ntz"))
+
+    many = [(f"m{i}", f"h{i}", i) for i in range(300)]
+    target = stamped(side(*many, ("a", "x", 1), ("a", "x", 2), ("b", "x", 3), (None, "n", 4),
+                          ("c", None, 5), ("d", None, 6), ("e", "x", 7)))
+    source = side(*many[:200], ("m250", "other", 0), ("a", "x", 1), ("b", "x", 3), ("b", "y", 8),
+                  (None, "n", 4), ("c", None, 9), ("d", "z", 9), ("new", "x", 1), ("x", "e", 7))
+    now = "2026-02-01 00:00:00"
+    plain = upsert_outcomes(target, source, "k", now)
+    settled, others = upsert_apart(target, source, "k", now, held=held)
+    assert rows_of(settled.unionByName(others.select("new.*"))) == rows_of(
+        plain.select("new.*").select(*target.columns))
+    moved = F.col("outcome").isin("INSERT", "UPDATE")
+    assert rows_of(others.filter(moved)) == rows_of(plain.filter(moved))
+    assert settled.count() > 290  # most rows are left where they are
+    plan = settled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
